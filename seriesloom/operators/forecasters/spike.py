@@ -171,11 +171,11 @@ def tune(features: DataFrame, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config
         for fold in range(1, spike.folds + 1):
             is_train = F.coalesce(F.col("test_fold") < fold, F.lit(True)) & (F.col("n_folds") >= fold)
             seen = folded.filter(is_train | (F.col("test_fold") == fold))
-            frame = training_frame(seen, param, spike, is_train).withColumn("in_train", is_train)
+            frame = cut_lineage(training_frame(seen, param, spike, is_train).withColumn("in_train", is_train))
             model = SpikeModel(frame.filter("in_train"), spike_feature_columns(features), config)
-            scored = model.predict(frame.filter("not in_train")).select(
+            scored = cut_lineage(model.predict(frame.filter("not in_train")).select(
                 "spike_label", "spike_prob", "Actuals", "final_forecast"
-            )
+            ))
             counts = frame.agg(
                 F.sum(F.when(F.col("in_train"), F.col("spike_label"))).alias("train_spike_count"),
                 F.sum(F.when(~F.col("in_train"), F.col("spike_label"))).alias("test_spike_count"),

@@ -183,7 +183,7 @@ def snapshot_lines(spark, sf_dir) -> DataFrame:
         F.date_format("order_month", "yyyy-MM").alias("Month"),
         F.date_format("ship_month", "MM/dd/yyyy").alias("Close Date"),
         F.col("Division").alias("Business Unit"),
-        F.col("Product").alias("Product Code"),
+        F.when(F.col("l_returnflag") != "A", F.col("Product")).alias("Product Code"),
         F.concat(F.lit("Name "), F.col("Product")).alias("Current OSC Product Name"),
         F.concat(F.lit("C"), F.col("o_custkey")).alias("Account Name"),
         F.col("Product").alias("Opportunity Name"),
@@ -197,6 +197,26 @@ def snapshot_lines(spark, sf_dir) -> DataFrame:
     )
 
 
+def aliases(spark, sf_dir) -> DataFrame:
+    """Alias names of the products, known for three of the divisions."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("group_key")).distinct()
+    units = F.explode(F.array(*[F.lit(u) for u in ("R0", "R2", "R4")]))
+    return brands.select(
+        units.alias("business_unit_code"), "group_key",
+        F.concat(F.lit("Name "), F.col("group_key")).alias("salesforce_product_name"),
+    )
+
+
+def series_modes(spark, sf_dir, series: DataFrame) -> DataFrame:
+    """Feature mode of each series of the fact, from the catalog."""
+    from seriesloom.functions.codes import normalize_code
+    from seriesloom.operators.prepare import feature_modes
+
+    modes = feature_modes(catalog(spark, sf_dir)).withColumnRenamed("Product", "code")
+    keyed = series.withColumn("code", normalize_code("Product"))
+    return keyed.join(modes, ["code", "Division"]).select(*SERIES, "mode")
+
+
 def signal_summary(spark, sf_dir) -> DataFrame:
     """Monthly signal summary by (group_key, BU) from order months."""
     return (
