@@ -34,7 +34,7 @@ def best_per_family(rows: DataFrame) -> DataFrame:
     """Model of each family with the lowest WAPE over the whole holdout."""
     overall = rows.groupBy(*FAMILY).agg(wape(F.col("Actual"), F.col("Forecast")).alias("WAPE"))
     best = overall.filter("WAPE is not null").groupBy(*SERIES, "Model_Family").agg(
-        F.min(F.struct("WAPE", "Model")).alias("m")
+        F.min_by(F.struct("Model", "WAPE"), F.struct(F.round("WAPE", 9), "Model")).alias("m")
     )
     return best.select(*SERIES, "Model_Family", "m.Model", "m.WAPE")
 

@@ -16,11 +16,20 @@ R_TENTATIVE = "Selected best MAE among accuracy-qualified models passing ROCV sa
 R_NONE = "No valid model metrics available."
 
 
+TIE_DIGITS = 9
+
+
+def tie(c: str) -> Column:
+    """Ordering value: sums of doubles depend on row order in their last bits, so equal to nine
+    decimals is a tie. Missing sorts last."""
+    return F.coalesce(F.round(c, TIE_DIGITS), F.lit(INF))
+
+
 def tie_key(mae: str = "Test_MAE", error: str = "Test_RMSE") -> Column:
-    """Ordering of models: MAE, RMSE (missing last), then name."""
+    """Ordering of models: MAE, RMSE, then name."""
     return F.struct(
-        F.coalesce(F.col(mae), F.lit(INF)).alias("k_mae"),
-        F.coalesce(F.col(error), F.lit(INF)).alias("k_rmse"),
+        tie(mae).alias("k_mae"),
+        tie(error).alias("k_rmse"),
         F.col("Model").alias("k_model"),
     )
 
@@ -105,8 +114,8 @@ def score_models(enriched: DataFrame, config: cfg.SelectionConfig = cfg.Selectio
     df = df.withColumns(
         {
             "tentative": F.min_by(picked, F.when(F.col("candidate"), tie_key())).over(w),
-            "da_pick": F.min_by(picked, F.when(F.col("qualifies_da"), F.struct(-F.col("DA"), tie_key()))).over(w),
-            "bias_pick": F.min_by(picked, F.when(qualifies, F.struct("abs_bias_pct", tie_key()))).over(w),
+            "da_pick": F.min_by(picked, F.when(F.col("qualifies_da"), F.struct(-F.round("DA", TIE_DIGITS), tie_key()))).over(w),
+            "bias_pick": F.min_by(picked, F.when(qualifies, F.struct(tie("abs_bias_pct"), tie_key()))).over(w),
             "had_challengers": F.max(challenger).over(w),
             "any_mae_close": F.max(F.col("qualifies_mae_close")).over(w),
             "any_bias_ok": F.max(
@@ -285,7 +294,7 @@ def accept_groups(metrics: DataFrame, config: cfg.SelectionConfig = cfg.Selectio
     steady = rocv.isNull() | (F.abs(rocv - mae) <= c.accept_rocv * F.greatest(mae, F.lit(1e-9)))
     accepted = (F.col("Model") != F.col("b.Model")) & gain & rocv_ok & steady
     one = df.groupBy(*SERIES).agg(
-        F.first("b").alias("b"), F.min_by("Model", F.when(accepted, F.struct("Test_MAE", "Model"))).alias("best"),
+        F.first("b").alias("b"), F.min_by("Model", F.when(accepted, F.struct(tie("Test_MAE"), "Model"))).alias("best"),
         F.count_if(accepted).alias("n_accepted"),
     )
     return one.select(*SERIES, F.coalesce("best", "b.Model").alias("Recommended_Model"), "n_accepted")
@@ -349,7 +358,7 @@ def rank_models(metrics: DataFrame) -> DataFrame:
     """Rank by MAE inside the series; models without a MAE stay unranked."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*SERIES, F.col("Test_MAE").isNull()).orderBy("Test_MAE", "Model")
+    w = Window.partitionBy(*SERIES, F.col("Test_MAE").isNull()).orderBy(tie("Test_MAE"), "Model")
     return metrics.withColumn("Rank", F.when(F.col("Test_MAE").isNotNull(), F.row_number().over(w)))
 
 

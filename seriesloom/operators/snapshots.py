@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesloom import config as cfg
 from seriesloom.functions import codes, dates, numeric
+from seriesloom.functions.lineage import cut_lineage
 from seriesloom.schema import SERIES
 
 LINE_KEY = ["code_raw", "name_raw", "bu"]
@@ -96,18 +97,21 @@ def _attach_series(cells: DataFrame, matches: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"r.{c}") for c in SERIES], *keep)
 
 
-def history_cells(cleaned: DataFrame, matches: DataFrame) -> DataFrame:
-    """Five summed measures per (series, snapshot, target).
-
-    Lines are summed per (line key, file, snapshot, target) before the series is attached, so a
-    hot product meets the join already collapsed. The quantity column is chosen per file and
-    series: the first one with any value.
-    """
-    cells = cleaned.groupBy(*LINE_KEY, "source_file", "snapshot_month", "target_month").agg(
+def line_cells(cleaned: DataFrame) -> DataFrame:
+    """Sums per (line key, file, snapshot, target): all the history needs of the lines."""
+    return cleaned.groupBy(*LINE_KEY, "source_file", "snapshot_month", "target_month").agg(
         F.count("q1").alias("n1"), F.count("q2").alias("n2"), F.sum("q1").alias("s1"), F.sum("q2").alias("s2"),
         F.sum(F.col("q1") * F.col("prob")).alias("w1"), F.sum(F.col("q2") * F.col("prob")).alias("w2"),
         F.sum("fq").alias("fq"), F.sum("fr").alias("fr"), F.sum("swr").alias("swr"),
     )
+
+
+def history_cells(cells: DataFrame, matches: DataFrame) -> DataFrame:
+    """Five summed measures per (series, snapshot, target).
+
+    The series is attached to the summed cells, so a hot product meets the join already collapsed.
+    The quantity column is chosen per file and series: the first one with any value.
+    """
     per_file = _attach_series(cells, matches).groupBy(*SERIES, "source_file", "snapshot_month", "target_month").agg(
         *[F.sum(c).alias(c) for c in ("n1", "n2", "s1", "s2", "w1", "w2", "fq", "fr", "swr")]
     )
@@ -155,11 +159,12 @@ def slippage(cleaned: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def load_history(lines: DataFrame, series: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Snapshot history of all series in one plan."""
+    """Snapshot history of all series. The lines are read twice: once for the sums, once for the shifts."""
     cleaned = clean_lines(lines)
-    matches = match_lines(cleaned, series_aliases(series, aliases))
+    cells = cut_lineage(line_cells(cleaned))
+    matches = cut_lineage(match_lines(cells, series_aliases(series, aliases)))
     slip = slippage(cleaned, matches).drop("n_shifts")
-    return history_cells(cleaned, matches).join(slip, [*SERIES, "snapshot_month"], "left")
+    return history_cells(cells, matches).join(slip, [*SERIES, "snapshot_month"], "left")
 
 
 # ---- snapshot features ---------------------------------------------------

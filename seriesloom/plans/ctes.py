@@ -118,7 +118,7 @@ en AS (SELECT m.Product, m.Division, m.Model, w.Weighted_MAE AS mae, w.Weighted_
 """
 SCORED = ENRICHED + """,
 basem AS (SELECT Product, Division, Model AS bm, mae AS b_mae, rmse AS b_rmse, rocv AS b_rocv, DA AS b_da, abs_bias AS b_ab, abs_bias_pct AS b_abp FROM en
-  WHERE mae IS NOT NULL QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY mae, rmse, Model) = 1),
+  WHERE mae IS NOT NULL QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY round(mae, 9), round(rmse, 9), Model) = 1),
 fl AS (SELECT en.*, b.* EXCLUDE (Product, Division), coalesce(en.Model = b.bm, false) AS is_baseline, b_mae * 1.2 AS mae_cutoff, b_rmse * 1.2 AS rmse_cutoff,
     CASE WHEN b_rocv > 0 THEN b_rocv * 1.5 END AS rocv_hard_max FROM en LEFT JOIN basem b ON b.Product = en.Product AND b.Division = en.Division),
 fl2 AS (SELECT *, is_baseline OR coalesce(mae <= mae_cutoff AND rmse <= rmse_cutoff, false) AS passes_accuracy,
@@ -126,8 +126,8 @@ fl2 AS (SELECT *, is_baseline OR coalesce(mae <= mae_cutoff AND rmse <= rmse_cut
 fl3 AS (SELECT *, passes_accuracy AND passes_rocv_sanity AS candidate, passes_accuracy AND passes_rocv_sanity AND NOT is_baseline AS chal FROM fl2),
 fl4 AS (SELECT *, chal AND coalesce(DA >= b_da + 0.10::DOUBLE AND mae <= b_mae * 1.05::DOUBLE, false) AS q_da, chal AND coalesce(mae <= b_mae * 1.10::DOUBLE, false) AS q_mae,
     chal AND coalesce(b_abp > 0 AND abs_bias_pct <= b_abp * 0.70::DOUBLE, false) AS q_bias FROM fl3),
-dap AS (SELECT * FROM fl4 WHERE q_da QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY DA DESC, mae, rmse, Model) = 1),
-bip AS (SELECT * FROM fl4 WHERE q_mae AND q_bias QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY abs_bias_pct, mae, rmse, Model) = 1),
+dap AS (SELECT * FROM fl4 WHERE q_da QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY round(DA, 9) DESC, round(mae, 9), round(rmse, 9), Model) = 1),
+bip AS (SELECT * FROM fl4 WHERE q_mae AND q_bias QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY round(abs_bias_pct, 9), round(mae, 9), round(rmse, 9), Model) = 1),
 ser AS (SELECT Product, Division, bool_or(chal) AS had, bool_or(q_mae) AS any_mae, bool_or(q_bias) AS any_bias FROM fl4 GROUP BY ALL),
 selected AS (SELECT s.Product, s.Division, coalesce(bp.Model, dp.Model, b.bm) AS Recommended_Model,
     CASE WHEN b.bm IS NULL THEN 'No valid model metrics available.'
@@ -142,10 +142,10 @@ selected AS (SELECT s.Product, s.Division, coalesce(bp.Model, dp.Model, b.bm) AS
 """
 LEGACY = METRICS + """,
 lb AS (SELECT Product, Division, Model AS bm, Test_MAE AS b_mae, Test_RMSE AS b_rmse, ROCV_MAE AS b_rocv FROM metrics WHERE Test_MAE IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY Test_MAE, Test_RMSE, Model) = 1),
+  QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY round(Test_MAE, 9), round(Test_RMSE, 9), Model) = 1),
 lc AS (SELECT m.*, b.* EXCLUDE (Product, Division), Model = bm OR coalesce(Test_MAE <= b_mae * 1.2 AND Test_RMSE <= b_rmse * 1.2 AND ROCV_MAE <= b_rocv * 1.5, false) AS ok,
     ROCV_MAE BETWEEN b_rocv * 0.85::DOUBLE AND b_rocv * 1.15::DOUBLE AS band FROM metrics m JOIN lb b USING (Product, Division)),
-lp AS (SELECT * FROM lc WHERE ok AND b_rocv > 0 QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY coalesce(band, false) DESC, Test_MAE, Test_RMSE, Model) = 1),
+lp AS (SELECT * FROM lc WHERE ok AND b_rocv > 0 QUALIFY row_number() OVER (PARTITION BY Product, Division ORDER BY coalesce(band, false) DESC, round(Test_MAE, 9), round(Test_RMSE, 9), Model) = 1),
 legacy AS (SELECT b.Product, b.Division,
     CASE WHEN b.b_rocv IS NULL OR b.b_rocv <= 0 THEN b.bm WHEN p.Model <> b.bm AND (p.ROCV_MAE < b.b_rocv * 0.70::DOUBLE OR p.ROCV_MAE > b.b_rocv * 1.5) THEN b.bm ELSE p.Model END AS Recommended_Model,
     CASE WHEN b.b_rocv IS NULL OR b.b_rocv <= 0 THEN 'Baseline ROCV unavailable or zero; selected lowest-MAE baseline.'

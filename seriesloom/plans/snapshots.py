@@ -123,7 +123,7 @@ class Inputs:
 
 
 @query("snapshot_cells", with_ctes(LINES, body="""SELECT 'snap_' || o_orderstatus AS source_file, order_month AS snapshot_month, ship_month AS target_month, count(*) AS n_lines, count(q1) AS n_qty,
-  sum(q2) AS qty, sum(fq) AS fq, sum(fr) AS fr, sum(l_extendedprice * prob) AS swr, count(DISTINCT opp_key) AS n_opps FROM lines GROUP BY ALL"""), "qty fq fr swr", 2)
+  sum(q2) AS qty, sum(fq) AS fq, sum(fr) AS fr, sum(l_extendedprice * prob) AS swr, count(DISTINCT opp_key) AS n_opps FROM lines GROUP BY ALL"""), "qty fq fr swr")
 def snapshot_cells(spark, sf):
     return S.clean_lines(D.snapshot_lines(spark, sf)).groupBy("source_file", "snapshot_month", "target_month").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count("q1").alias("n_qty"), F.sum("q2").alias("qty"), F.sum("fq").alias("fq"),
@@ -135,7 +135,7 @@ def line_matches(spark, sf):
     return Inputs(spark, sf).matches()
 
 
-@query("snapshot_history", with_ctes(HIST, body="SELECT * FROM hist"), CELL + " slippage_months", 2)
+@query("snapshot_history", with_ctes(HIST, body="SELECT * FROM hist"), CELL + " slippage_months")
 def snapshot_history(spark, sf):
     i = Inputs(spark, sf)
     return S.load_history(D.snapshot_lines(spark, sf), i.series, i.aliases)
@@ -147,30 +147,30 @@ def slippage(spark, sf):
     return S.slippage(i.cleaned, i.matches())
 
 
-@query("due_windows", with_ctes(PRIM, body="SELECT * FROM due"), " ".join(DUE), 2)
+@query("due_windows", with_ctes(PRIM, body="SELECT * FROM due"), " ".join(DUE))
 def due_windows(spark, sf):
     i = Inputs(spark, sf)
     return S.snapshot_metrics(S.with_primary(i.history(), i.modes))
 
 
-@query("slip_adjusted", with_ctes(PRIM, body="SELECT * FROM adj"), "pipeline_slip_adjusted_primary", 2)
+@query("slip_adjusted", with_ctes(PRIM, body="SELECT * FROM adj"), "pipeline_slip_adjusted_primary")
 def slip_adjusted(spark, sf):
     i = Inputs(spark, sf)
     return S.slip_adjusted(S.with_primary(i.history(), i.modes))
 
 
-@query("latest_snapshot_rows", with_ctes(HIST, body="SELECT * FROM hist QUALIFY snapshot_month = max(snapshot_month) OVER (PARTITION BY Product, Division)"), CELL + " slippage_months", 2)
+@query("latest_snapshot_rows", with_ctes(HIST, body="SELECT * FROM hist QUALIFY snapshot_month = max(snapshot_month) OVER (PARTITION BY Product, Division)"), CELL + " slippage_months")
 def latest_snapshot_rows(spark, sf):
     return S.latest_snapshots(Inputs(spark, sf).history())
 
 
-@query("snapshot_features", with_ctes(PRIM, _frame_sql(TRAIN_PAIRS, ""), body="SELECT * FROM frame"), FRAME_DOUBLES + " actuals", 3)
+@query("snapshot_features", with_ctes(PRIM, _frame_sql(TRAIN_PAIRS, ""), body="SELECT * FROM frame"), FRAME_DOUBLES + " actuals")
 def snapshot_features(spark, sf):
     i = Inputs(spark, sf)
     return S.feature_frame(i.fact, i.history(), i.modes, i.summary())
 
 
-@query("future_features", with_ctes(PRIM, _frame_sql(FUTURE_PAIRS, "_all"), body="SELECT * FROM frame"), FRAME_DOUBLES, 3)
+@query("future_features", with_ctes(PRIM, _frame_sql(FUTURE_PAIRS, "_all"), body="SELECT * FROM frame"), FRAME_DOUBLES)
 def future_features(spark, sf):
     i = Inputs(spark, sf)
     return S.future_frame(i.fact, i.history(), i.modes, i.summary())
@@ -222,7 +222,7 @@ def _asof(spark, sf):
     return i, S.asof_features(i.fact, i.history(), i.modes)
 
 
-@query("asof_features", with_ctes(ASOF_WIDE, body="SELECT * FROM af"), ASOF_DOUBLES, 2)
+@query("asof_features", with_ctes(ASOF_WIDE, body="SELECT * FROM af"), ASOF_DOUBLES)
 def asof_features(spark, sf):
     return _asof(spark, sf)[1]
 
@@ -275,7 +275,7 @@ def _impute_sql(cols) -> str:
 IMPUTED = ["pipeline_primary_lag1", "pipeline_primary_lag2", "pipeline_due_1m_lag1", "snapshot_age_lag3"]
 
 
-@query("spike_impute", with_ctes(ASOF_WIDE, body=f"SELECT Product, Division, Month, {_impute_sql(IMPUTED)} FROM af"), " ".join(IMPUTED), 3)
+@query("spike_impute", with_ctes(ASOF_WIDE, body=f"SELECT Product, Division, Month, {_impute_sql(IMPUTED)} FROM af"), " ".join(IMPUTED))
 def spike_impute(spark, sf):
     return X.impute(_asof(spark, sf)[1], IMPUTED).select(*SERIES, "Month", *IMPUTED)
 
