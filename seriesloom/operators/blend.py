@@ -87,7 +87,7 @@ def blend_holdout(holdout: DataFrame, config: cfg.BlendConfig = cfg.BlendConfig(
     return (
         joined.groupBy(*step)
         .agg(
-            (F.sum("asum") / F.sum("an")).alias("Actual"),
+            F.try_divide(F.sum("asum"), F.sum("an")).alias("Actual"),
             F.when(total > config.eps, F.sum(F.col("w") * F.col("Forecast")) / total).alias("Forecast"),
         )
         .filter("Forecast is not null")
@@ -157,18 +157,18 @@ def blend_forecast(library: DataFrame, weights: DataFrame, config: cfg.BlendConf
     j = j.withColumn(
         "Weight",
         F.when(F.col("has_h"), F.col("wh")).when(F.col("has_o"), F.col("wo"))
-        .when(F.col("forecast_value").isNotNull(), 1.0 / n_families),
+        .when(F.col("forecast_value").isNotNull(), F.try_divide(F.lit(1.0), n_families)),
     ).withColumn(
         "Weight_Source",
         F.when(F.col("has_h"), "holdout_horizon").when(F.col("has_o"), "holdout_overall").otherwise("equal_fallback"),
     )
     j = j.filter("Weight is not null")
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("Weight")).alias("o"), "family"))), 1, 2)
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.round("Weight", 9)).alias("o"), "family"))), 1, 2)
     usable = F.when(finite("forecast_value").isNotNull(), F.col("Weight"))
     return (
         j.groupBy(*keys, "Horizon")
         .agg(
-            floor_zero(F.sum(usable * F.col("forecast_value")) / F.sum(usable)).alias("forecast_value"),
+            floor_zero(F.try_divide(F.sum(usable * F.col("forecast_value")), F.sum(usable))).alias("forecast_value"),
             F.sum(usable).alias("wsum"),
             F.max("forecast_month").alias("forecast_month"),
             F.max("run_id").alias("run_id"),

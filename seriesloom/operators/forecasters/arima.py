@@ -163,7 +163,7 @@ def forecast(fact: DataFrame, orders: DataFrame, horizon: int = 12, x: str | Non
     base = rows.select(
         *SERIES, F.lit(model).alias("Model"), F.col("Month").alias("first_month"), "path", "psi", "sigma2", "p", "q", "sp", "sq",
         *criteria(), (coef if x else F.lit(None).cast("double")).alias("Regressor_Coef"),
-        (normal_p_value(coef / se) if x else F.lit(None).cast("double")).alias("Regressor_pvalue"),
+        (normal_p_value(F.try_divide(coef, se)) if x else F.lit(None).cast("double")).alias("Regressor_pvalue"),
     ).filter("path is not null")
     steps = base.select("*", F.posexplode("path").alias("i", "Forecast"))
     spread = 1.96 * F.sqrt(F.col("sigma2") * F.aggregate(

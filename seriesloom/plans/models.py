@@ -1,0 +1,226 @@
+"""Queries: the model jobs. Their fits have no SQL twin; tests hold their invariants.
+
+Trees are few here: the query shows the job, the library default is the full size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesloom import config as cfg
+from seriesloom.functions.labels import model_group
+from seriesloom.functions.lineage import cut_lineage
+from seriesloom.operators import blend as B
+from seriesloom.operators import lags as L
+from seriesloom.operators import library as Y
+from seriesloom.operators import metrics as M
+from seriesloom.operators import prepare as P
+from seriesloom.operators import selection as S
+from seriesloom.operators.forecasters import arima, boosting, ets, sba, spike, trend
+from seriesloom.plans.evaluation import fact_of
+from seriesloom.plans.registry import query
+from seriesloom.plans.snapshots import Inputs, _asof
+from seriesloom.schema import SERIES
+from seriesloom.sources import driver_tables as D
+
+FEW = cfg.BoostConfig(trees=5, depth=3)
+SPIKE = cfg.SpikeConfig(folds=2)
+
+
+def orders_of(fact):
+    """A fixed order for every series; a searched order table has the same columns."""
+    return fact.select(*SERIES).distinct().withColumns({"p": F.lit(1), "q": F.lit(1), "sp": F.lit(0), "sq": F.lit(1)})
+
+
+def regressors_of(spark, sf):
+    return cut_lineage(L.regressor_lags(D.full_fact(spark, sf).filter("Actuals is not null")))
+
+
+@query("arima_search")
+def arima_search(spark, sf):
+    return arima.search_orders(fact_of(spark, sf))
+
+
+@query("sarima_forecast")
+def sarima_forecast(spark, sf):
+    fact = fact_of(spark, sf)
+    return arima.forecast(fact, orders_of(fact))
+
+
+@query("sarimax_forecast")
+def sarimax_forecast(spark, sf):
+    fact = regressors_of(spark, sf)
+    return arima.forecast(fact, orders_of(fact), x="Bookings_l1", model="SARIMAX_Bookings_l1")
+
+
+@query("sarimax_candidates")
+def sarimax_candidates(spark, sf):
+    """Every usable (regressor, lag) of every series back-tested at once: the candidate is part of the series key."""
+    fact = D.full_fact(spark, sf).filter("Actuals is not null")
+    return sarimax_backtest(cut_lineage(fact))[1]
+
+
+def sarimax_backtest(fact):
+    """(holdout, ROCV) of all usable regressor candidates, as models SARIMAX_<name>_l<lag>."""
+    long = cut_lineage(L.regressor_long(fact))
+    usable = L.regressor_quality(long).filter("usable").select(*SERIES, "Regressor", "Lag")
+    rows = long.join(usable, [*SERIES, "Regressor", "Lag"], "left_semi").withColumn(
+        "Model", F.concat(F.lit("SARIMAX_"), "Regressor", F.lit("_l"), "Lag")
+    )
+    # The candidate rides in the product key, so one job fits all candidates of all series.
+    keyed = rows.withColumn("Product", F.concat_ws("\u0001", "Product", "Model")).select(*SERIES, "Month", "Actuals", "x")
+    holdout, rocv = arima.backtest(keyed, orders_of(keyed), x="x", model="SARIMAX")
+
+    def split(df):
+        parts = F.split("Product", "\u0001")
+        return df.withColumn("Model", parts[1]).withColumn("Product", parts[0])
+
+    return split(holdout), split(rocv)
+
+
+@query("sarima_backtest")
+def sarima_backtest(spark, sf):
+    fact = fact_of(spark, sf)
+    holdout, rocv = arima.backtest(fact, orders_of(fact))
+    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+
+
+@query("ets_forecast")
+def ets_forecast(spark, sf):
+    return ets.forecast(fact_of(spark, sf))
+
+
+@query("ets_backtest")
+def ets_backtest(spark, sf):
+    holdout, rocv = ets.backtest(fact_of(spark, sf))
+    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+
+
+@query("trend_forecast")
+def trend_forecast(spark, sf):
+    return trend.forecast(fact_of(spark, sf))
+
+
+@query("trend_backtest")
+def trend_backtest(spark, sf):
+    holdout, rocv = trend.backtest(fact_of(spark, sf))
+    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+
+
+@query("boosted_backtest")
+def boosted_backtest(spark, sf):
+    holdout, rocv = boosting.backtest(fact_of(spark, sf), folds=3, config=FEW)
+    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+
+
+@query("boosted_forecast")
+def boosted_forecast(spark, sf):
+    return boosting.forecast(fact_of(spark, sf), config=FEW)
+
+
+@query("snapshot_baseline")
+def snapshot_baseline(spark, sf):
+    fact = fact_of(spark, sf)
+    months = fact.select(*SERIES, F.col("Month").alias("snapshot_month"))
+    return boosting.snapshot_baseline(fact, months)
+
+
+@query("residual_model")
+def residual_model(spark, sf):
+    i = Inputs(spark, sf)
+    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary(), holdout_months=3, config=FEW)
+    return tables["per_series"]
+
+
+@query("residual_forecast")
+def residual_forecast(spark, sf):
+    i = Inputs(spark, sf)
+    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary(), holdout_months=1, config=FEW)
+    return tables["forecast"].select(*SERIES, "snapshot_month", "target_month", "baseline_pred", "adjustment_pred", "final_pred")
+
+
+@query("spike_model")
+def spike_model(spark, sf):
+    features = cut_lineage(_asof(spark, sf)[1])
+    return spike.evaluate(features, 1.5, SPIKE, FEW)[1].select(
+        *SERIES, "Month", "Actuals", "baseline_pred", "spike_prob", "spike_mag_pred", "final_forecast")
+
+
+@query("spike_importance")
+def spike_importance(spark, sf):
+    features = cut_lineage(_asof(spark, sf)[1])
+    return spike.evaluate(features, 1.5, SPIKE, FEW)[0].importance(spark)
+
+
+@query("spike_tuning")
+def spike_tuning(spark, sf):
+    features = cut_lineage(_asof(spark, sf)[1])
+    return spike.tuned(spike.tune(features, SPIKE, FEW))
+
+
+def full_backtest(fact_with_signals):
+    """Metrics and holdout of all per-series forecasters and the blend."""
+    fact = fact_with_signals.select(*SERIES, "Month", "Actuals")
+    parts = [
+        arima.backtest(fact, orders_of(fact)),
+        sarimax_backtest(fact_with_signals),
+        ets.backtest(fact),
+        trend.backtest(fact),
+        sba.sba_backtest(fact),
+        boosting.backtest(fact, folds=2, config=FEW),
+    ]
+    columns = [*SERIES, "Model", "Date", "Actual", "Forecast"]
+    holdout = rocv = None
+    for h, r in parts:
+        h, r = h.select(*columns), r.select(*SERIES, "Model", "ROCV_MAE")
+        holdout = h if holdout is None else holdout.unionByName(h)
+        rocv = r if rocv is None else rocv.unionByName(r)
+    holdout = cut_lineage(holdout)
+    metrics = M.error_metrics(holdout).join(rocv, [*SERIES, "Model"], "left")
+    return B.with_blend(cut_lineage(metrics), holdout)
+
+
+@query("full_backtest")
+def full_backtest_selection(spark, sf):
+    """All forecasters back-tested, blended, ranked by the selection rule: the whole second script in one plan."""
+    fact = cut_lineage(D.full_fact(spark, sf).filter("Actuals is not null"))
+    metrics, holdout = full_backtest(fact)
+    return S.select_model(cut_lineage(metrics), cut_lineage(holdout)).select(
+        *SERIES, "Recommended_Model", "Reason", "baseline_model", "baseline_mae", "recommended_mae", "used_bias_override")
+
+
+@query("forecast_variants")
+def forecast_variants(spark, sf):
+    """Library rows of the real forecasters with status, reasons, blend and recommended flag."""
+    with_signals = regressors_of(spark, sf)
+    fact = with_signals.select(*SERIES, "Month", "Actuals")
+    orders = orders_of(fact)
+    gates = P.series_gates(P.series_profile(fact))
+    ok = gates.filter("allow_sarima").select(*SERIES)
+    okx = gates.filter("allow_sarimax").select(*SERIES)
+    level = sba.sba_forecast(fact).join(
+        fact.groupBy(*SERIES).agg(F.max("Month").alias("last")), SERIES
+    ).withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(12)))).select(
+        *SERIES, F.lit("SBA").alias("Model"), F.add_months("last", F.col("h")).alias("Month"), "h", F.col("forecast").alias("Forecast"))
+    x = arima.forecast(with_signals, orders.join(okx, SERIES), x="Bookings_l1", model="SARIMAX_Bookings_l1")
+    frames = [arima.forecast(fact, orders.join(ok, SERIES)), x, ets.forecast(fact), trend.forecast(fact), level]
+    spans = fact.groupBy(*SERIES).agg(F.min("Month").alias("training_start"), F.max("Month").alias("training_end"))
+    rows = None
+    for f in frames:
+        f = f.withColumns({c: F.lit(None).cast("double") for c in ("lower_ci", "upper_ci") if c not in f.columns})
+        f = f.select(*SERIES, "Model", "Month", "h", "Forecast", "lower_ci", "upper_ci")
+        rows = f if rows is None else rows.unionByName(f)
+    rows = rows.join(spans, SERIES).select(
+        F.col("Product").alias("product_id"), F.col("Division").alias("bu_id"), model_group(F.col("Model")).alias("model_group"),
+        F.col("Month").alias("forecast_month"), F.col("h").alias("horizon_months_ahead"), F.col("Forecast").alias("forecast_value"),
+        "lower_ci", "upper_ci", "training_start", "training_end",
+        F.when(F.col("Model").startswith("SARIMAX"), "Bookings").alias("regressor_names"),
+        F.when(F.col("Model").startswith("SARIMAX"), 1).alias("regressor_lag"),
+    )
+    library = cut_lineage(Y.library_rows(rows, "run"))
+    holdout = cut_lineage(D.simple_holdout(fact))
+    blend = B.blend_forecast(library, B.holdout_weights(holdout))
+    choices = fact.select(*SERIES).distinct().withColumn("model", F.lit("ETS_baseline"))
+    return Y.flag_recommended(Y.union_variants(library, blend), choices).select(
+        "product_id", "bu_id", "model_group", "model_type", "forecast_month", "horizon_months_ahead", "forecast_value",
+        "lower_ci", "upper_ci", "model_status", "recommended_model")

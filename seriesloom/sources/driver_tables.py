@@ -300,3 +300,25 @@ def simple_metrics(fact: DataFrame, min_train: int = 24) -> DataFrame:
     )
     rocv = rocv.unpivot(SERIES, list(SIMPLE_MODELS), "Model", "ROCV_MAE")
     return error_metrics(simple_holdout(fact)).join(rocv, [*SERIES, "Model"], "left")
+
+
+# Monthly runs of simple forecasts, one per month of the year up to the current run.
+FIRST_RUN, CURRENT_RUN = "2001-01-01", "2001-09-01"
+RUN_MODELS = {"baseline_sarima": "naive", "baseline_ets": "roll_mean_3", "sba": "roll_mean_6", "prophet": "roll_mean_12"}
+
+
+def run_forecasts(fact: DataFrame, horizon: int = 12) -> DataFrame:
+    """Forecast rows of every run: a run starts in its own month and uses the months before it."""
+    from seriesloom.operators.lags import month_lags
+
+    starts = month_lags(fact).filter(F.col("Month").between(FIRST_RUN, CURRENT_RUN)).select(
+        *SERIES, F.col("Month").alias("run_month"), "roll_mean_3", "roll_mean_6", "roll_mean_12"
+    )
+    steps = starts.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    steps = steps.withColumn("forecast_month", F.add_months("run_month", F.col("h") - 1))
+    year_ago = fact.select(*SERIES, F.add_months("Month", 12).alias("forecast_month"), F.col("Actuals").alias("naive"))
+    models = F.array(*[F.struct(F.lit(g).alias("model_group"), F.col(c).alias("forecast_value")) for g, c in RUN_MODELS.items()])
+    return steps.join(year_ago, [*SERIES, "forecast_month"], "left").select(
+        F.col("Product").alias("product_id"), F.col("Division").alias("bu_id"), "run_month", "forecast_month",
+        F.col("h").alias("horizon_months_ahead"), F.explode(models).alias("m"),
+    ).select("product_id", "bu_id", "run_month", "forecast_month", "horizon_months_ahead", "m.*")
