@@ -81,9 +81,13 @@ def spike_feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if "pipeline_" in c or c.startswith("snapshot_") or c in ("month_of_year", "quarter")]
 
 
-def _scaled(df: DataFrame, train: Column, columns) -> DataFrame:
-    scale = F.avg(F.when(train, F.col("Actuals"))).over(of_series())
-    df = df.withColumn("scale", scale).filter("scale > 0")
+def _with_scale(df: DataFrame, train: Column) -> DataFrame:
+    """Adds the mean of the training rows, null without a positive one."""
+    mean = F.avg(F.when(train, F.col("Actuals"))).over(of_series())
+    return df.withColumn("scale", F.when(mean > 0, mean))
+
+
+def _over_scale(df: DataFrame, columns) -> DataFrame:
     amounts = [c for c in columns if c.startswith("pipeline_") and c != "pipeline_missing_flag"] + LAG_FEATURES
     return df.withColumns({c: F.col(c) / F.col("scale") for c in amounts if c in df.columns})
 
@@ -136,11 +140,11 @@ class SpikeModel:
 
 def training_frame(features: DataFrame, param: float, spike: cfg.SpikeConfig, train: Column) -> DataFrame:
     """Labelled, imputed and scaled rows; labels and magnitudes use earlier rows only."""
-    labelled = spike_labels(features, spike.method, param, spike.abs_floor)
     columns = spike_feature_columns(features)
-    filled = impute(labelled, [c for c in columns if c not in ("month_of_year", "quarter", "pipeline_missing_flag")], train)
-    scaled = _scaled(filled, train, columns)
-    return scaled.withColumn("y_scaled", F.col("Actuals") / F.col("scale")).withColumn(
+    labelled = spike_labels(_with_scale(features, train), spike.method, param, spike.abs_floor)
+    # The wide imputed rows are written once: planning further columns on top of them is slow.
+    filled = cut_lineage(impute(labelled, [c for c in columns if c not in ("month_of_year", "quarter", "pipeline_missing_flag")], train))
+    return _over_scale(filled.filter("scale is not null"), columns).withColumn("y_scaled", F.col("Actuals") / F.col("scale")).withColumn(
         "mag_scaled", F.col("spike_magnitude") / F.col("scale")
     )
 
@@ -153,7 +157,7 @@ def holdout_flag(df: DataFrame, rows: int) -> DataFrame:
 def evaluate(features: DataFrame, param: float, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config: cfg.BoostConfig = cfg.BoostConfig()):
     """(model, holdout predictions) with the last rows of every series held out."""
     flagged = holdout_flag(features.filter("Actuals is not null"), spike.holdout)
-    frame = cut_lineage(training_frame(flagged, param, spike, F.col("is_train")))
+    frame = training_frame(flagged, param, spike, F.col("is_train"))
     model = SpikeModel(frame.filter("is_train"), spike_feature_columns(features), config)
     return model, model.predict(frame.filter("not is_train"))
 
@@ -171,7 +175,7 @@ def tune(features: DataFrame, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config
         for fold in range(1, spike.folds + 1):
             is_train = F.coalesce(F.col("test_fold") < fold, F.lit(True)) & (F.col("n_folds") >= fold)
             seen = folded.filter(is_train | (F.col("test_fold") == fold))
-            frame = cut_lineage(training_frame(seen, param, spike, is_train).withColumn("in_train", is_train))
+            frame = training_frame(seen, param, spike, is_train).withColumn("in_train", is_train)
             model = SpikeModel(frame.filter("in_train"), spike_feature_columns(features), config)
             scored = cut_lineage(model.predict(frame.filter("not in_train")).select(
                 "spike_label", "spike_prob", "Actuals", "final_forecast"

@@ -26,10 +26,20 @@ def _whole(df: DataFrame, digits: int) -> DataFrame:
     return df.select(*out)
 
 
+def prepare_session(spark) -> None:
+    """Planner setting for wide plans: inferring constraints doubles per aliased column, so a plan
+    with some fifty derived columns would spend minutes in the optimizer and gain nothing."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def query(name: str, sql: str | None = None, doubles: str = "", digits: int = 6):
     """Register fn(spark, sf_dir). `doubles` names the SQL columns to round."""
     def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: _whole(fn(spark, sf_dir), digits)
+        def run(spark, sf_dir):
+            prepare_session(spark)
+            return _whole(fn(spark, sf_dir), digits)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = _rounded(sql, doubles.split(), digits)
         return fn
