@@ -95,9 +95,9 @@ def _over_scale(df: DataFrame, columns) -> DataFrame:
 class SpikeModel:
     """Baseline trees, a class-weighted spike classifier and a magnitude model on the spikes."""
 
-    def __init__(self, train: DataFrame, columns, config: cfg.BoostConfig):
+    def __init__(self, train: DataFrame, columns, config: cfg.BoostConfig, base=None):
         self.columns = usable(train, columns)
-        self.base = regressor(config, label="y_scaled", features="base_features").fit(
+        self.base = base or regressor(config, label="y_scaled", features="base_features").fit(
             assemble(train.dropna(subset=FEATURES), FEATURES, "base_features")
         )
         rows = assemble(train.dropna(subset=self.columns), self.columns, "spike_features")
@@ -138,15 +138,18 @@ class SpikeModel:
         )
 
 
-def training_frame(features: DataFrame, param: float, spike: cfg.SpikeConfig, train: Column) -> DataFrame:
-    """Labelled, imputed and scaled rows; labels and magnitudes use earlier rows only."""
-    columns = spike_feature_columns(features)
-    labelled = spike_labels(_with_scale(features, train), spike.method, param, spike.abs_floor)
-    # The wide imputed rows are written once: planning further columns on top of them is slow.
-    filled = cut_lineage(impute(labelled, [c for c in columns if c not in ("month_of_year", "quarter", "pipeline_missing_flag")], train))
-    return _over_scale(filled.filter("scale is not null"), columns).withColumn("y_scaled", F.col("Actuals") / F.col("scale")).withColumn(
-        "mag_scaled", F.col("spike_magnitude") / F.col("scale")
-    )
+def imputed_frame(features: DataFrame, train: Column) -> DataFrame:
+    """Imputed rows with the series scale, written once: planning more columns on top of them is slow."""
+    columns = [c for c in spike_feature_columns(features) if c not in ("month_of_year", "quarter", "pipeline_missing_flag")]
+    return cut_lineage(impute(_with_scale(features, train), columns, train).withColumn("in_train", train))
+
+
+def training_frame(imputed: DataFrame, param: float, spike: cfg.SpikeConfig) -> DataFrame:
+    """Labelled and scaled rows; labels and magnitudes use earlier rows only."""
+    labelled = spike_labels(imputed, spike.method, param, spike.abs_floor).filter("scale is not null")
+    return _over_scale(labelled, spike_feature_columns(imputed)).withColumn(
+        "y_scaled", F.col("Actuals") / F.col("scale")
+    ).withColumn("mag_scaled", F.col("spike_magnitude") / F.col("scale"))
 
 
 def holdout_flag(df: DataFrame, rows: int) -> DataFrame:
@@ -157,7 +160,7 @@ def holdout_flag(df: DataFrame, rows: int) -> DataFrame:
 def evaluate(features: DataFrame, param: float, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config: cfg.BoostConfig = cfg.BoostConfig()):
     """(model, holdout predictions) with the last rows of every series held out."""
     flagged = holdout_flag(features.filter("Actuals is not null"), spike.holdout)
-    frame = training_frame(flagged, param, spike, F.col("is_train"))
+    frame = cut_lineage(training_frame(imputed_frame(flagged, F.col("is_train")), param, spike))
     model = SpikeModel(frame.filter("is_train"), spike_feature_columns(features), config)
     return model, model.predict(frame.filter("not is_train"))
 
@@ -170,13 +173,16 @@ def tune(features: DataFrame, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config
     params = params or (spike.k_values if spike.method == "hybrid" else spike.quantiles)
     train = holdout_flag(features.filter("Actuals is not null"), spike.holdout).filter("is_train").drop("is_train")
     folded = cut_lineage(cv_folds(train, spike.fold_rows, spike.folds))
+    columns = spike_feature_columns(features)
     out = None
-    for param in params:
-        for fold in range(1, spike.folds + 1):
-            is_train = F.coalesce(F.col("test_fold") < fold, F.lit(True)) & (F.col("n_folds") >= fold)
-            seen = folded.filter(is_train | (F.col("test_fold") == fold))
-            frame = training_frame(seen, param, spike, is_train).withColumn("in_train", is_train)
-            model = SpikeModel(frame.filter("in_train"), spike_feature_columns(features), config)
+    for fold in range(1, spike.folds + 1):
+        is_train = F.coalesce(F.col("test_fold") < fold, F.lit(True)) & (F.col("n_folds") >= fold)
+        imputed = imputed_frame(folded.filter(is_train | (F.col("test_fold") == fold)), is_train)
+        base = None  # the baseline does not depend on the label, so a fold fits it once
+        for param in params:
+            frame = cut_lineage(training_frame(imputed, param, spike))
+            model = SpikeModel(frame.filter("in_train"), columns, config, base)
+            base = model.base
             scored = cut_lineage(model.predict(frame.filter("not in_train")).select(
                 "spike_label", "spike_prob", "Actuals", "final_forecast"
             ))
