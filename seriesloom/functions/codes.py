@@ -10,7 +10,7 @@ MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT",
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def normalize_code(c) -> Column:
@@ -24,7 +24,6 @@ def strip_prefix(c: Column) -> Column:
 
 
 def parse_fiscal_year(c: Column) -> Column:
-    year = F.expr("cast(null as int)")
     digits = F.regexp_replace(c, r"\D", "")
     year = digits.try_cast("int")
     return F.when(year < 100, year + 2000).otherwise(year)
