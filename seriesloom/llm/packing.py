@@ -125,7 +125,7 @@ def pack_documents(docs: DataFrame, ranks: str, capacity: int = CAPACITY, end_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = rank_encoding(ranks).encode_to_numpy
+        encode = rank_encoding(ranks).encode_ordinary
         base, ids, arrays, held = TaskContext.get().partitionId() << 36, [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -143,7 +143,7 @@ def pack_documents(docs: DataFrame, ranks: str, capacity: int = CAPACITY, end_id
         for batch in chunks(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids.append(doc_id)
-                arrays.append(np.append(encode(text or "", disallowed_special=()), end_id).astype("<u4"))
+                arrays.append(np.array([*encode(text or ""), end_id], dtype="<u4"))
                 held += len(arrays[-1])
                 if held >= block_tokens:
                     yield from flush()

@@ -193,7 +193,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
         for batch in chunks(batches):
             if out is None:
                 store.create_dir(f"{root}/files", recursive=True)
-                sink = store.open_output_stream(f"{root}/files/{name}")
+                sink = store.open_output_stream(f"{root}/files/{name}", compression=None)
                 out = FrameWriter(sink, encoder.width)
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 out.add(doc_id, raw + end)
