@@ -83,10 +83,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def windows(codes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of k codes; its last k - 1 places are short and mean nothing."""
+    """Hash of every run of k codes; its last k - 1 places are short and mean nothing. Codes may be hashes."""
     out = np.zeros(len(codes), dtype=np.uint64)
     codes = codes.astype(np.uint64)
     for i in range(k):
         out *= np.uint64(0x9FB21C651E98DF25)
         out[: len(codes) - i] += codes[i:] if i else codes
     return mix(out)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, first word of each text); equal in all tasks."""
+    import xxhash
+
+    codes, words, starts = word_codes(texts)
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+    return hashes[codes] if len(codes) else np.zeros(0, np.uint64), starts
+
+
+def text_hash(column):
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(column.cast("binary")))
