@@ -1,4 +1,7 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing. Each stage works on what the last kept."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing. Each stage works on what the last kept.
+
+Rows without doc_id are no documents: the first stage drops them. Of repeated rows of one doc_id one stays.
+"""
 
 from __future__ import annotations
 
@@ -22,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least doc_id."""
     staying = classes(docs).where("stays").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(staying, docs["doc_id"].eqNullSafe(staying["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(staying, docs["doc_id"] == staying["kept_id"], "left_semi").dropDuplicates(["doc_id"])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
