@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 CHUNK_TEXTS, CHUNK_CHARS = 2000, 4_000_000
 
 
+#: Folders that scratch() has named in this process.
+NAMED: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share.
+    """A new folder below spark.checkpoint.dir, which driver and executors share. drop() deletes it when it is not needed.
 
     Without that setting, only a local session gets a folder of its own (tests); a cluster must name one.
     """
@@ -26,7 +30,16 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="seriesloom-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    NAMED.append(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return NAMED[-1]
+
+
+def drop(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders that scratch() named; no DataFrame that reads them can be used afterwards."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        NAMED.remove(folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -70,6 +83,13 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return np.asarray(coded.indices, dtype=np.int64), coded.dictionary, starts
 
 
+def word_counts(texts: pa.Array) -> np.ndarray:
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    full = np.concatenate(([0], np.cumsum(np.asarray(pc.greater(pc.binary_length(lists.flatten()), 0)))))
+    offsets = np.asarray(lists.offsets, dtype=np.int64)
+    return np.diff(full[offsets - offsets[0]])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64) over an array."""
     x = x.astype(np.uint64, copy=True)
@@ -88,7 +108,8 @@ def windows(codes: np.ndarray, k: int) -> np.ndarray:
     codes = codes.astype(np.uint64)
     for i in range(k):
         out *= np.uint64(0x9FB21C651E98DF25)
-        out[: len(codes) - i] += codes[i:] if i else codes
+        if i < len(codes):
+            out[: len(codes) - i] += codes[i:]
     return mix(out)
 
 

@@ -11,7 +11,8 @@ from .common import written
 def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's least neighbour (or itself)."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+    # A table, so that adaptive execution can split the join at a node with very many neighbours.
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")), "least")
     return both.join(least, both["u"] == least["c"]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 

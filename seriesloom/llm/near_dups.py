@@ -1,15 +1,17 @@
 """Near-duplicates by ProbMinHash over weighted word shingles, banding, and exact verification.
 
-A shingle (five words) weighs as often as its text holds it. Each shingle starts a Poisson process whose rate is its
+A shingle (five words) that its text holds n times weighs 1 + ln(n), so that one line said a hundred times doesn't
+outweigh the rest of a text. Each shingle starts a Poisson process whose rate is its
 weight: its arrivals hit random registers, each register keeps the shingle that arrived first, and a text is done when
 no process can arrive before the latest register. Two texts agree in a register with the probability Jaccard
 similarity of their weighted shingles. Registers are grouped into bands; texts that agree in a band are candidates, and
 a candidate pair is a link if its exact similarity reaches the threshold.
 
 Equal texts are one node. In a bucket, all members are first compared with the least one. Buckets whose members then
-lie in more than one component go on: growing shares of their members (about 4, 16, 64 … of each bucket, until all) are
-compared with the members of other components, so that no link between components stays unseen, while members that are
-connected already are never paired again. Pairs are compared by signature before their texts are fetched.
+lie in more than one component go on: their members are compared with those of other components block by block, each
+pair of blocks in a task of its own that counts common shingles and returns no more links than join components. So no
+link between components stays unseen, and members that are connected already are not compared again. In the first
+comparison pairs are compared by signature before their texts are fetched.
 
 Rows: null texts and texts without words are in no class but their own. Texts of fewer than five words have one
 shingle. Repeated rows share a class. Rows without doc_id belong to the class of their text. An empty table gives no
@@ -28,16 +30,19 @@ from pyspark.sql import functions as F
 
 from .common import chunks, id_text, mix, table, text_hash, windows, word_hashes, written
 from .components import components
+from .passages import by_key
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 32 bands of 4 registers: a pair at 0.8 has no band in common with probability 5e-8.
 BANDS, ROWS = 32, 4
 #: A pair goes to verification if its estimate is at most this much below the threshold (over 5 deviations).
 MARGIN = 0.2
+#: Nodes of a block, where the members of open buckets are compared.
+BLOCK = 256
 
 
 def shingles(hashes: np.ndarray, starts: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, shingle, count) of the distinct shingles of each text, by text and shingle."""
+    """(text, shingle, weight) of the distinct shingles of each text, by text and shingle."""
     sizes = np.diff(starts)
     text = np.repeat(np.arange(len(sizes)), sizes)
     runs = windows(hashes, k) if len(hashes) else np.zeros(0, np.uint64)
@@ -50,7 +55,7 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, k: int = SHINGLE) -> tuple[
     order = np.lexsort((runs, text))
     runs, text = runs[order], text[order]
     first = np.flatnonzero(np.concatenate(([True], (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])))) if len(runs) else np.zeros(0, np.int64)
-    return text[first], runs[first], np.diff(np.append(first, len(runs)))
+    return text[first], runs[first], 1 + np.log(np.diff(np.append(first, len(runs))))
 
 
 def prob_min_hash(text: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_texts: int, registers: int) -> np.ndarray:
@@ -113,8 +118,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
             firsts = np.unique(codes, return_index=True)[1]
             firsts = firsts[codes[firsts] >= 0]  # one row for each distinct text of the batch
             hashes, starts = word_hashes(batch.column("text").take(pa.array(firsts)))
-            text, elements, counts = shingles(hashes, starts)
-            found = prob_min_hash(text, elements, counts.astype(np.float64), len(firsts), registers)
+            found = prob_min_hash(*shingles(hashes, starts), len(firsts), registers)
             keys, small = band_keys(found, bands, rows), found.astype(np.uint8)
             worded = np.diff(starts) > 0
             at = dict(zip(codes[firsts].tolist(), range(len(firsts)), strict=True))
@@ -151,9 +155,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         for batch in chunks(batches, "text_a"):
             sides = []
             for column in ("text_a", "text_b"):
-                text, elements, counts = shingles(*word_hashes(batch.column(column)))
+                text, elements, weights = shingles(*word_hashes(batch.column(column)))
                 cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-                sides.append([(elements[x:y], counts[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)])
+                sides.append([(elements[x:y], weights[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)])
             value = np.array([similarity(x, y) for x, y in zip(*sides, strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(value)], names=["a", "b", "similarity"]).filter(pa.array(value >= threshold - 1e-9))
 
@@ -166,27 +170,101 @@ def links(nodes: DataFrame, texts: DataFrame, threshold: float = SIMILARITY, ban
     """(links a > b between nodes, component of every linked node). nodes: node, bands, sketch; texts: node, text."""
     sketches = nodes.select("node", "sketch")
     spread = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
+    # Tables, so that adaptive execution can split the joins at a bucket of any size.
+    buckets = written(spread.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1"), "bucket-sizes")
     shared = written(spread.join(buckets, "key"), "buckets")
     order = [F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")]
     pairs = written(shared.select(F.col("node").alias("x"), F.col("leader").alias("y")).where("x <> y").select(*order).distinct(), "pairs")
     found = written(_verified(_estimated(pairs, sketches, threshold, bands * rows), texts, threshold).dropDuplicates(["a", "b"]), "links")
-    tried, upto = pairs, 1
-    while True:
-        parts = components(found.select("a", "b"))
-        named = shared.join(parts, shared["node"] == parts["node"], "left").select(shared["key"], shared["node"], "n", F.coalesce("component", shared["node"]).alias("component"))
-        # A bucket of two is settled; one of n has been searched once `upto` reached n.
-        open_keys = named.where((F.col("n") > 2) & (F.col("n") > upto)).groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        members = written(named.join(open_keys, "key"), "open-buckets")
-        if members.isEmpty():
-            return found, parts
-        turn = F.pmod(F.xxhash64("node", "key"), F.col("n"))
-        leaders = members.where((turn >= (0 if upto == 1 else upto)) & (turn < 4 * upto)).select("key", F.col("node").alias("y"), F.col("component").alias("other"))
-        more = members.join(leaders, "key").where(F.col("component") != F.col("other")).select(F.col("node").alias("x"), "y").select(*order).distinct()
-        more = written(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried, upto = tried.union(more), 4 * upto
-        if not more.isEmpty():
-            found = written(found.union(_verified(_estimated(more, sketches, threshold, bands * rows), texts, threshold)).dropDuplicates(["a", "b"]), "links")
+    parts = components(found.select("a", "b"))
+    members = _open(shared.where("n > 2").select("key", "node"), parts)
+    if members.isEmpty():
+        return found, parts
+    more = _between(members, texts, threshold)
+    return (every := written(found.select("a", "b").union(more), "links")), components(every)
+
+
+def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with their component."""
+    own = parts.select(F.col("node").alias("of"), "component")
+    named = written(members.join(own, F.col("node") == F.col("of"), "left").withColumn("component", F.coalesce("component", "node")).drop("of"), "named")
+    keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    return written(named.join(written(keys, "open-keys"), "key"), "open-buckets")
+
+
+def _links_of(rows: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Links between nodes of different components in two blocks; of links that join the same two components one is enough."""
+    nodes, names, side = (rows.column(c).to_pylist() for c in ("node", "component", "side"))
+    sets = []
+    for raw in rows.column("shingles").to_pylist():
+        n = len(raw) // 16
+        sets.append((np.frombuffer(raw, dtype="<u8", count=n), np.frombuffer(raw, dtype="<f8", offset=8 * n)))
+    totals = np.array([w.sum() for _, w in sets])
+    others = [i for i in range(len(nodes)) if side[i] >= 0]  # the second block, or the only one
+    owner = np.repeat(others, [len(sets[i][0]) for i in others])
+    tokens, weights = (np.concatenate([sets[i][x] for i in others]) for x in (0, 1))
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner, weights = tokens[order], owner[order], weights[order]
+    parent = {c: c for c in names}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    out = []
+    for i in range(len(nodes)):
+        if side[i] > 0:
+            continue
+        mine, own = sets[i]
+        left, right = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
+        n = right - left
+        at = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        held = np.bincount(owner[at], weights=np.repeat(own, n), minlength=len(nodes)) / totals[i]
+        back = np.bincount(owner[at], weights=weights[at], minlength=len(nodes)) / totals
+        # With common weight shares p and q two texts are at most 1 / (1/p + 1/q - 1) alike: the similarity sums a
+        # concave function of the two weights of each common shingle, so it is largest if their ratio is the same.
+        with np.errstate(divide="ignore"):
+            likely = np.flatnonzero(1 / held + 1 / back <= 1 + 1 / threshold + 1e-9)
+        for j in likely.tolist():
+            if root(names[i]) != root(names[j]) and similarity(sets[i], sets[j]) >= threshold - 1e-9:
+                parent[root(names[i])] = root(names[j])
+                out.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+    return out
+
+
+def _between(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links that join different components of open buckets.
+
+    Nodes that share open buckets, directly or through others, are a group. A group is dealt into blocks of about BLOCK
+    nodes, and each pair of blocks is one small task that counts common shingles through an index of the second block.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            text, elements, weights = shingles(*word_hashes(batch.column("text")))
+            cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
+            data = [elements[x:y].tobytes() + weights[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "component", "group")), pa.array(data, pa.binary())], names=["node", "component", "group", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_key(batches, "pair"):
+            found = _links_of(rows, threshold)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    heads = written(members.groupBy("key").agg(F.min("node").alias("b")), "open-heads")
+    groups = components(members.join(heads, "key").select(F.col("node").alias("a"), "b"))
+    nodes = members.select("node", "component").distinct().join(groups.select("node", F.col("component").alias("group")), "node")
+    nodes = written(nodes, "open-nodes")
+    sized = written(nodes.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "open-groups")
+    filled = nodes.join(texts, "node").select("node", "component", "group", "text").mapInArrow(sets, "node long, component long, group long, shingles binary")
+    dealt = written(filled, "open-sets").join(sized, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), -1).otherwise(1)
+    pair = F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other"))
+    dealt = dealt.select("node", "component", "shingles", side.alias("side"), pair.alias("pair"))
+    return dealt.repartition("pair").sortWithinPartitions("pair", "side", "node").mapInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, table, text_hash, windows, word_hashes, written
+from .common import chunks, id_text, table, text_hash, windows, word_counts, word_hashes, written
 
 K, WINDOW = 8, 12
 MIN_WORDS = 50
@@ -39,7 +39,7 @@ IDENTITY = 0.8
 def minimisers(hashes: np.ndarray, starts: np.ndarray, k: int = K, window: int = WINDOW, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, position, hash) of the seeds of all texts that have at least `least` words."""
     n, sizes = len(hashes), np.diff(starts)
-    if not n:
+    if n < k + window:  # no text can have a whole window
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     text = np.repeat(np.arange(len(sizes)), sizes)
     runs = windows(hashes, k)
@@ -247,18 +247,28 @@ def aligned(segments: np.ndarray, a: np.ndarray, a_from: int, b: np.ndarray, b_f
     return out
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """doc_id, hash of the text and number of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("hash"), pa.array(word_counts(batch.column("text")), pa.int64())], names=["doc_id", "hash", "n_words"])
+
+    return docs.select("doc_id", "text", text_hash(F.col("text")).alias("hash")).mapInArrow(run, "doc_id long, hash binary, n_words long")
+
+
 def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, start_word, end_word, n_words, source_id of every passage of a document that an earlier one holds."""
-    spark = docs.sparkSession
     source = id_text(docs).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    hashed = source.select("doc_id", text_hash(F.col("text")).alias("hash"))
+    hashed = counted(source)
     heads = hashed.groupBy("hash").agg(F.min("doc_id").alias("head"))
-    copies = written(hashed.join(heads, "hash").where("doc_id <> head").select("doc_id", "head").distinct(), "copies")
+    copies = written(hashed.join(heads, "hash").where("doc_id <> head").select("doc_id", "head", "n_words").distinct(), "copies")
     found = written(seeds(source), "seeds")
-    earliest = F.when(F.col("first"), F.col("doc_id"))
-    firsts = found.groupBy("seed").agg(F.min_by("pos", earliest).alias("src_pos"), F.min(earliest).alias("source"), F.max(earliest).alias("last"))
-    shared = firsts.where("source <> last").select("seed", "source", "src_pos")
-    matches = found.join(shared, "seed").where("doc_id <> source").select("doc_id", "pos", "source", "src_pos")
+    # Both sides of the next joins are tables, so that adaptive execution can split a seed that many documents hold.
+    shared = written(found.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source <> last").select("seed", "source"), "shared-seeds")
+    places = written(found.join(shared, "seed"), "seed-places")
+    first = written(places.where("first AND doc_id = source").groupBy("seed").agg(F.min("pos").alias("src_pos")), "seed-sources")
+    matches = places.where("doc_id <> source").join(first, "seed").select("doc_id", "pos", "source", "src_pos")
     texts = source.select(F.col("doc_id").alias("of"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,8 +308,7 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     pieces = sliced.join(texts, F.col("source") == F.col("of")).select("doc_id", "source", "segments", "a_from", "a", "text").mapInArrow(align, "doc_id long, start_word long, end_word long, matched long, source_id long")
     result = "doc_id long, start_word long, end_word long, n_words long, source_id long"
     fuzzy = pieces.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(unite, result)
-    words = F.size(F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: F.length(w) > 0)).cast("long")
-    whole = source.select("doc_id", words.alias("n_words")).where(F.col("n_words") >= least).distinct().join(copies, "doc_id")
+    whole = copies.where(F.col("n_words") >= least)
     return fuzzy.union(whole.select("doc_id", F.lit(0).cast("long"), "n_words", "n_words", "head"))
 
 

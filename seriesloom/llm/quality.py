@@ -106,7 +106,7 @@ def token_figures(codes: np.ndarray, words: pa.Array, starts: np.ndarray, pieces
     keys, count = np.unique(text * len(pieces.is_byte) + stream, return_counts=True)
     share = count / n[keys // len(pieces.is_byte)]
     entropy = np.bincount(keys // len(pieces.is_byte), weights=-share * np.log2(share), minlength=len(n))
-    return n, byte_total[bounds[1:]] - byte_total[bounds[:-1]], np.round(entropy, 3)
+    return n, byte_total[bounds[1:]] - byte_total[bounds[:-1]], np.round(entropy.astype(np.float64), 3)
 
 
 def document_figures(docs: DataFrame, model: str) -> DataFrame:
