@@ -25,14 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, table, text_hash, windows, word_counts, word_hashes, written
+from .common import NAMED, chunks, drop, id_text, table, text_hash, windows, word_counts, word_hashes, written
 
-K, WINDOW = 8, 12
+K, WINDOW = 8, 16
 MIN_WORDS = 50
 #: Cost of a word of gap in a chain; widest gap between matches that alignment bridges; words looked at beyond an end.
 GAP_COST, MAX_GAP, REACH = 0.2, 32, 64
 #: An end stops where mismatches (each worth two matches) have cost this much; a passage ends at longer mismatches.
 DROP, MAX_MISS = 10, 6
+#: Words by which an end may shift to go on, and equal words that it must then find.
+SHIFT, AFTER_SHIFT = 8, 5
 IDENTITY = 0.8
 
 
@@ -162,8 +164,8 @@ def chains(matches: DataFrame) -> DataFrame:
             doc = group.column("doc_id")[0].as_py()
             pos, source, src = (group.column(c).to_numpy() for c in ("pos", "source", "src_pos"))
             found = [(s, c) for s in np.unique(source) for c in chain(diagonals(pos[source == s], src[source == s]))]
-            # What seeds can't show of a passage is less than K + WINDOW words at either end.
-            spans = sorted((c[0][0] - K - WINDOW, c[-1][0] + c[-1][2] + K + WINDOW, i) for i, (_, c) in enumerate(found))
+            # A passage's first and last whole windows hold seeds; a few words more allow for a change at an end.
+            spans = sorted((c[0][0] - WINDOW - 4, c[-1][0] + c[-1][2] + WINDOW + 4, i) for i, (_, c) in enumerate(found))
             clusters: list[list] = []
             for a, b, i in spans:
                 if clusters and a <= clusters[-1][1]:
@@ -195,7 +197,7 @@ def _regions(batch: pa.RecordBatch, side: int) -> Iterator[tuple[int, np.ndarray
         yield low, own[low : int(found[-1, side] + found[-1, 2]) + REACH].astype(np.uint32)
 
 
-def _extent(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _straight(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Matches of two runs of words read side by side, up to where mismatches outweigh matches."""
     n = min(len(a), len(b))
     equal = a[:n] == b[:n]
@@ -205,6 +207,23 @@ def _extent(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return equal[: int(np.argmax(score)) + 1] if len(score) and score.max() > 0 else equal[:0]
 
 
+def _extent(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matches of two runs of words from their start on; a few words more in one of them shift it."""
+    hit, i, j = np.zeros(len(a), dtype=bool), 0, 0
+    while True:
+        equal = _straight(a[i:], b[j:])
+        hit[i : i + len(equal)] = equal
+        i, j = i + len(equal), j + len(equal)
+        shifts = ((x, total - x) for total in range(1, SHIFT + 1) for x in range(total + 1))
+        for x, y in shifts:
+            one, two = a[i + x : i + x + AFTER_SHIFT], b[j + y : j + y + AFTER_SHIFT]
+            if len(one) == len(two) == AFTER_SHIFT and (one == two).all():
+                i, j = i + x, j + y
+                break
+        else:
+            return hit[:i]
+
+
 def _common(a: list[int], b: list[int]) -> list[bool]:
     """Which words of a are in a longest common subsequence with b."""
     lengths = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
@@ -264,10 +283,12 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     heads = hashed.groupBy("hash").agg(F.min("doc_id").alias("head"))
     copies = written(hashed.join(heads, "hash").where("doc_id <> head").select("doc_id", "head", "n_words").distinct(), "copies")
     found = written(seeds(source), "seeds")
+    seed_folder = NAMED[-1]
     # Both sides of the next joins are tables, so that adaptive execution can split a seed that many documents hold.
     shared = written(found.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source <> last").select("seed", "source"), "shared-seeds")
     places = written(found.join(shared, "seed"), "seed-places")
     first = written(places.where("first AND doc_id = source").groupBy("seed").agg(F.min("pos").alias("src_pos")), "seed-sources")
+    drop(docs.sparkSession, [seed_folder])
     matches = places.where("doc_id <> source").join(first, "seed").select("doc_id", "pos", "source", "src_pos")
     texts = source.select(F.col("doc_id").alias("of"), "text")
 
