@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import NAMED, chunks, drop, id_text, table, text_hash, windows, word_counts, word_hashes, written
 
-K, WINDOW = 8, 16
+K, WINDOW = 8, 12
 MIN_WORDS = 50
 #: Cost of a word of gap in a chain; widest gap between matches that alignment bridges; words looked at beyond an end.
 GAP_COST, MAX_GAP, REACH = 0.2, 32, 64
