@@ -31,7 +31,7 @@ from .common import chunks, id_text, scratch, table, written
 END_ID = 1
 LEVEL = 3
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew. It only saves time.
-REMEMBERED = 600_000
+REMEMBERED = 1_400_000
 # Fixed values of the zstandard seekable format and of this index frame.
 SEEK_MAGIC, SEEK_FOOTER, INDEX_MAGIC = 0x184D2A5E, 0x8F92EAB1, 0x184D2A50
 CHECKSUMS = 0x80
