@@ -157,7 +157,7 @@ def chain(segments: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
 
 
 def chains(matches: DataFrame) -> DataFrame:
-    """doc_id, source and the segments of each chain of documents whose chains may reach a passage."""
+    """doc_id, source and the segments (chain, pos, src, length) of the chains that may be part of a passage."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_key(batches, "doc_id"):
@@ -173,10 +173,12 @@ def chains(matches: DataFrame) -> DataFrame:
                     clusters[-1][2].append(i)
                 else:
                     clusters.append([a, b, [i]])
-            kept = [i for a, b, members in clusters if b - a >= MIN_WORDS for i in members]
-            if kept:
+            kept: dict[int, list] = {}
+            for i in sorted(i for a, b, members in clusters if b - a >= MIN_WORDS for i in members):
+                kept.setdefault(int(found[i][0]), []).extend((i, *x) for x in found[i][1])
+            if kept:  # one row for each source, so that texts are fetched once
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * len(kept), pa.int64()), pa.array([int(found[i][0]) for i in kept], pa.int64()), pa.array([np.array(found[i][1], dtype="<i4").tobytes() for i in kept], pa.binary())],
+                    [pa.array([doc] * len(kept), pa.int64()), pa.array(list(kept), pa.int64()), pa.array([np.array(x, dtype="<i4").tobytes() for x in kept.values()], pa.binary())],
                     names=["doc_id", "source", "segments"],
                 )
 
@@ -184,17 +186,17 @@ def chains(matches: DataFrame) -> DataFrame:
 
 
 def _regions(batch: pa.RecordBatch, side: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first word, word hashes) of the part of each text that the chain may touch; side 0 the document, 1 the source."""
+    """(first word, word hashes) of the part of each text that the chains may touch; side 0 the document, 1 the source."""
     distinct = batch.column("text").dictionary_encode()
     hashes, starts = word_hashes(distinct.dictionary)
     for code, raw in zip(distinct.indices.to_pylist(), batch.column("segments").to_pylist(), strict=True):
         if code is None:
             yield 0, np.zeros(0, np.uint32)
             continue
-        found = np.frombuffer(raw, dtype="<i4").reshape(-1, 3)
-        own = hashes[starts[code] : starts[code + 1]]
-        low = max(0, int(found[0, side]) - REACH)
-        yield low, own[low : int(found[-1, side] + found[-1, 2]) + REACH].astype(np.uint32)
+        found = np.frombuffer(raw, dtype="<i4").reshape(-1, 4)
+        low = max(0, int(found[:, 1 + side].min()) - REACH)
+        high = int((found[:, 1 + side] + found[:, 3]).max()) + REACH
+        yield low, hashes[starts[code] : starts[code + 1]][low:high].astype(np.uint32)
 
 
 def _straight(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -301,9 +303,12 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         for batch in chunks(batches):
             rows = []
             for i, (b_from, b) in enumerate(_regions(batch, 1)):
-                segments = np.frombuffer(batch.column("segments")[i].as_py(), dtype="<i4").reshape(-1, 3)
-                a = np.frombuffer(batch.column("a")[i].as_py(), dtype=np.uint32)
-                rows += [(batch.column("doc_id")[i].as_py(), *x, batch.column("source")[i].as_py()) for x in aligned(segments, a, batch.column("a_from")[i].as_py(), b, b_from)]
+                segments = np.frombuffer(batch.column("segments")[i].as_py(), dtype="<i4").reshape(-1, 4)
+                a, a_from = np.frombuffer(batch.column("a")[i].as_py(), dtype=np.uint32), batch.column("a_from")[i].as_py()
+                for one in np.split(segments[:, 1:], np.flatnonzero(np.diff(segments[:, 0])) + 1):
+                    x, y = max(0, int(one[0, 0]) - REACH - a_from), max(0, int(one[0, 1]) - REACH - b_from)
+                    part_a, part_b = a[x : int(one[-1, 0] + one[-1, 2]) + REACH - a_from], b[y : int(one[-1, 1] + one[-1, 2]) + REACH - b_from]
+                    rows += [(batch.column("doc_id")[i].as_py(), *z, batch.column("source")[i].as_py()) for z in aligned(one, part_a, a_from + x, part_b, b_from + y)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start_word", "end_word", "matched", "source_id"])
 
