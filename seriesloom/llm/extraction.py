@@ -199,7 +199,9 @@ def article(page: str | None, weights: dict[str, float]) -> str:
 def labelled_pages(pages: DataFrame, most: int = LABELLED_PAGES) -> DataFrame:
     """Pages with exactly one <article> or <main>; a bounded sample by the hash of the markup."""
     opened = F.regexp_count(F.lower("html"), F.lit(r"<(article|main)[\s>]"))
-    return pages.select(F.col("html").cast("string").alias("html")).where(opened == 1).orderBy(F.xxhash64("html"), "html").limit(most)
+    labelled = pages.select(F.col("html").cast("string").alias("html")).where(opened == 1).withColumn("hash", F.xxhash64("html"))
+    chosen = labelled.select("hash").distinct().orderBy("hash").limit(most)  # hashes alone are gathered
+    return labelled.join(F.broadcast(chosen), "hash", "left_semi").select("html")
 
 
 def extract(pages: DataFrame, most: int = LABELLED_PAGES) -> DataFrame:

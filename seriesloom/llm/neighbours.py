@@ -33,8 +33,9 @@ CURVES, DIMS, BITS, SEED = 8, 8, 7, 20
 NEAREST, QUERY_STEP = 20, 20
 #: Vectors the grid is fitted on and queries the window is fitted on: those with the smallest hashes.
 FIT_ROWS, FIT_QUERIES, FIT_RECALL = 4000, 96, 0.95
-#: Ranks in a block of candidates, and blocks whose queries meet it in one group.
-BLOCK, QUERY_BLOCKS = 2048, 64
+#: Least and most ranks in a block of candidates (in between, as many as the window), and blocks whose queries meet it
+#: in one group. They bound a group's memory and don't change the result.
+BLOCK, MOST_BLOCK, QUERY_BLOCKS = 2048, 65536, 16
 
 ROWS = "vec_id long, uid long, vec binary"
 
@@ -162,17 +163,18 @@ def nearest(vectors: DataFrame, query_step: int = QUERY_STEP, k: int = NEAREST,
     grids = _curves(np.frombuffer(b"".join(bytes(r.vec) for r in sample), dtype="<f4").reshape(-1, dims).astype(np.float64), curves)
     ranks = written(curve_ranks(each, dims, grids), "curve-ranks")
     reach = fit_window(each, queries, ranks, dims, recall) if window is None else window
-    super_block = BLOCK * QUERY_BLOCKS
+    size = min(max(BLOCK, reach), MOST_BLOCK)
+    super_block = size * QUERY_BLOCKS
 
     def spread(low, high):
         return F.explode(F.sequence(F.greatest(low, F.lit(0)), high))
 
-    block = F.floor(F.col("rank") / BLOCK)
+    block = F.floor(F.col("rank") / size)
     asked = ranks.join(queries.select("uid").distinct(), "uid").select(
         "curve", F.col("uid").alias("q"), F.col("vec").alias("q_vec"), F.col("rank").alias("q_rank"), F.floor(F.col("rank") / super_block).alias("chunk"),
-        spread(F.floor((F.col("rank") - reach) / BLOCK), F.floor((F.col("rank") + reach) / BLOCK)).alias("block"),
+        spread(F.floor((F.col("rank") - reach) / size), F.floor((F.col("rank") + reach) / size)).alias("block"),
     )
-    met = ranks.select(F.col("curve").alias("on"), F.col("uid").alias("uid"), F.col("vec").alias("vec"), F.col("rank").alias("rank"), block.alias("own"), spread(F.floor((block * BLOCK - reach) / super_block), F.floor((block * BLOCK + BLOCK - 1 + reach) / super_block)).alias("among"))
+    met = ranks.select(F.col("curve").alias("on"), F.col("uid").alias("uid"), F.col("vec").alias("vec"), F.col("rank").alias("rank"), block.alias("own"), spread(F.floor((block * size - reach) / super_block), F.floor((block * size + size - 1 + reach) / super_block)).alias("among"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -184,8 +186,9 @@ def nearest(vectors: DataFrame, query_step: int = QUERY_STEP, k: int = NEAREST,
                 some = qs[at : at + 256].astype(np.float64) @ wide
                 some[np.abs(q_rank[at : at + 256, None] - x_rank[None, :]) > reach] = -np.inf
                 for i, row in enumerate(some, at):
-                    # Scores of one more vector than asked, with room for ties that rounding parts.
-                    hit = _best(row, uids, 2 * k + 2)
+                    # One more vector than asked, and all that tie with it but for rounding.
+                    least = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k + 1 else -np.inf
+                    hit = np.flatnonzero((row >= least - 1e-9) & np.isfinite(row))
                     exact = _exact(qs[i], x[hit])
                     found.append((np.full(len(hit), q_uids[i]), uids[hit], exact))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -193,7 +196,8 @@ def nearest(vectors: DataFrame, query_step: int = QUERY_STEP, k: int = NEAREST,
 
     pairs = asked.groupBy("curve", "block", "chunk").cogroup(met.groupBy("on", "own", "among")).applyInArrow(score, "q long, uid long, score double")
     pairs = pairs.groupBy("q", "uid").agg(F.max("score").alias("score"))
-    pairs = pairs.join(each.select("uid", "ids"), "uid")
+    leading = F.rank().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    pairs = pairs.withColumn("n", leading).where(F.col("n") <= k + 1).drop("n").join(each.select("uid", "ids"), "uid")
     first = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0]))
     pairs = pairs.withColumn("n", first).where(F.col("n") <= k + 1)
     ids = pairs.select("q", F.explode("ids").alias("vec_id"), "score")
