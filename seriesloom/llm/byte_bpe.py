@@ -31,18 +31,20 @@ from .packing import rank_encoding
 BLOCK_CHARS = 8_000_000
 #: Owners for each shuffle partition.
 OWNERS_PER_PARTITION = 4
+#: Ranks below this take one byte in a block's sequence.
+FREQUENT = 255
 
 PARCELS = "key long, block long, kind int, data binary"
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
+def _packed(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Integer arrays as byte planes, compressed; the planes of small numbers are mostly zero."""
     parts = []
     for a in arrays:
         width = a.dtype.itemsize
         parts += [np.array([len(a), width], dtype="<u8").tobytes(), np.ascontiguousarray(a).view("u1").reshape(-1, width).T.tobytes()]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(parts))
 
 
 def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -55,6 +57,17 @@ def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _split(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks below FREQUENT in one byte each, FREQUENT for any other, and the others by themselves: that packs tighter."""
+    return np.minimum(sequence, FREQUENT).astype("u1"), (sequence[sequence >= FREQUENT] - FREQUENT).astype("<u4")
+
+
+def _joined(frequent: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    sequence = frequent.astype(np.uint32)
+    sequence[frequent == FREQUENT] += rare
+    return sequence
+
+
 def cut(texts: list[str | None], pattern) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(distinct pre-tokens, most frequent first; rank of every pre-token; number of pre-tokens of each text)."""
     lists = [pattern.findall(t) if t else [] for t in texts]
@@ -86,7 +99,7 @@ def encode_documents(docs: DataFrame, ranks: str, owners: int | None = None, blo
         def send() -> pa.RecordBatch:
             words, sequence, lengths = cut(texts, pattern)
             owner = np.array([zlib.crc32(w) % owners for w in words], dtype=np.uint32)
-            rows = [(-1 - block, block, 1, _packed(np.array([i or 0 for i in ids], dtype="<i8"), np.array([i is None for i in ids], dtype="u1"), lengths, owner, sequence))]
+            rows = [(-1 - block, block, 1, _packed(np.array([i or 0 for i in ids], dtype="<i8"), np.array([i is None for i in ids], dtype="u1"), lengths, owner, *_split(sequence), level=9))]
             by_owner = np.argsort(owner, kind="stable")
             cuts = np.flatnonzero(np.diff(owner[by_owner], prepend=-1)) if len(words) else []
             for own in np.split(by_owner, cuts[1:]) if len(words) else []:
@@ -137,7 +150,8 @@ def encode_documents(docs: DataFrame, ranks: str, owners: int | None = None, blo
                 if kind == 0:
                     by_owner[key] = data
                     continue
-                doc_ids, nulls, lengths, owner, sequence = _unpacked(data, "<i8", "u1", "<u4", "<u4", "<u4")
+                doc_ids, nulls, lengths, owner, *ranked = _unpacked(data, "<i8", "u1", "<u4", "<u4", "u1", "<u4")
+                sequence = _joined(*ranked)
                 count, spelled, decoded = np.zeros(len(owner), dtype=np.int64), [b""] * len(owner), [b""] * len(owner)
                 places = np.argsort(owner, kind="stable")
                 starts = dict(zip(*np.unique(owner[places], return_index=True), strict=True)) if len(owner) else {}
