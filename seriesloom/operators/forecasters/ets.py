@@ -46,7 +46,7 @@ def candidates(hist: DataFrame, config: cfg.EtsConfig = cfg.EtsConfig()) -> Data
     season = F.when(long & nonneg, F.array(F.lit("none"), F.lit("add"), F.lit("mul"))).when(
         long, F.array(F.lit("none"), F.lit("add"))
     ).otherwise(F.array(F.lit("none")))
-    df = hist.filter(F.size("train") >= 6).withColumn("nonneg", nonneg)
+    df = hist.filter(F.size("train") >= 1).withColumn("nonneg", nonneg)
     df = df.withColumn("trend", F.explode(trend)).withColumn("seasonal", F.explode(season))
     df = df.withColumn("alpha", F.explode(arr(config.alphas)))
     df = df.withColumn("beta", F.explode(F.when(F.col("trend") == "none", arr([0.0])).otherwise(arr(config.betas))))
@@ -218,7 +218,7 @@ def forecast(fact: DataFrame, horizon: int = 12, config: cfg.EtsConfig = cfg.Ets
 
 def backtest(fact: DataFrame, horizon: int = 12, min_train: int = 24, config: cfg.EtsConfig = cfg.EtsConfig()):
     """(holdout rows, one-step rolling-origin MAE at the specification chosen before the holdout)."""
-    hist = histories(fact, horizon).filter(F.col("n") > horizon + 5)
+    hist = histories(fact, horizon).filter(F.col("n") > horizon)
     best = cut_lineage(best_spec(fit(hist, horizon, config)))
     test = hist.select(*SERIES, F.posexplode("test").alias("i", "p"))
     holdout = best.select(*SERIES, F.posexplode("path").alias("i", "Forecast")).join(test, [*SERIES, "i"]).select(

@@ -36,6 +36,14 @@ def regressors_of(spark, sf):
     return cut_lineage(L.regressor_lags(D.full_fact(spark, sf).filter("Actuals is not null")))
 
 
+def per_series(fact, holdout, rocv, model):
+    """One row per series of the fact; without a holdout or a rolling origin its metrics are null and Status says so."""
+    key = [*SERIES, "Model"]
+    status = F.when(F.col("Test_MAE").isNull(), "NOT_SCORED").when(F.col("ROCV_MAE").isNull(), "NO_ROLLING_ORIGIN").otherwise("OK")
+    every = fact.select(*SERIES).distinct().withColumn("Model", F.lit(model))
+    return every.join(M.error_metrics(holdout), key, "left").join(rocv, key, "left").withColumn("Status", status)
+
+
 @query("arima_search")
 def arima_search(spark, sf):
     return arima.search_orders(fact_of(spark, sf))
@@ -81,8 +89,7 @@ def sarimax_backtest(fact):
 @query("sarima_backtest")
 def sarima_backtest(spark, sf):
     fact = fact_of(spark, sf)
-    holdout, rocv = arima.backtest(fact, orders_of(fact))
-    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+    return per_series(fact, *arima.backtest(fact, orders_of(fact)), "SARIMA_baseline")
 
 
 @query("ets_forecast")
@@ -92,8 +99,8 @@ def ets_forecast(spark, sf):
 
 @query("ets_backtest")
 def ets_backtest(spark, sf):
-    holdout, rocv = ets.backtest(fact_of(spark, sf))
-    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+    fact = fact_of(spark, sf)
+    return per_series(fact, *ets.backtest(fact), "ETS_baseline")
 
 
 @query("trend_forecast")
@@ -103,14 +110,14 @@ def trend_forecast(spark, sf):
 
 @query("trend_backtest")
 def trend_backtest(spark, sf):
-    holdout, rocv = trend.backtest(fact_of(spark, sf))
-    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+    fact = fact_of(spark, sf)
+    return per_series(fact, *trend.backtest(fact), "PROPHET")
 
 
 @query("boosted_backtest")
 def boosted_backtest(spark, sf):
-    holdout, rocv = boosting.backtest(fact_of(spark, sf), folds=3, config=FEW)
-    return M.error_metrics(holdout).join(rocv, [*SERIES, "Model"])
+    fact = fact_of(spark, sf)
+    return per_series(fact, *boosting.backtest(fact, folds=3, config=FEW), "ML_GBR")
 
 
 @query("boosted_forecast")

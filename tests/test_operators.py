@@ -224,3 +224,36 @@ def test_rolling_fit_never_sees_later_rows(spark):
 
     changed = y[:48] + [v * 3 for v in y[48:]]
     assert path(y) == pytest.approx(path(changed))
+
+
+def test_every_series_has_a_row(spark):
+    """Short and early-ended series stay in the back-test tables, with a status."""
+    from seriesloom.operators.forecasters import arima, ets, trend
+    from seriesloom.plans.models import orders_of, per_series
+
+    rng = random.Random(3)
+    sizes = {"long": 60, "ended early": 40, "22 months": 22, "14 months": 14, "one month": 1}
+    fact = None
+    for name, n in sizes.items():
+        part = series(spark, [50 + rng.random() * 10 for _ in range(n)], name)
+        fact = part if fact is None else fact.unionByName(part)
+    jobs = {"SARIMA_baseline": arima.backtest(fact, orders_of(fact)), "ETS_baseline": ets.backtest(fact), "PROPHET": trend.backtest(fact)}
+    for model, parts in jobs.items():
+        rows = {r["Product"]: r for r in per_series(fact, *parts, model).collect()}
+        assert set(rows) == set(sizes), model
+        assert rows["long"]["Status"] == rows["ended early"]["Status"] == "OK", model
+        assert rows["one month"]["Status"] == "NOT_SCORED" and rows["one month"]["Test_MAE"] is None
+    ets_rows = {r["Product"]: r["Status"] for r in per_series(fact, *jobs["ETS_baseline"], "ETS_baseline").collect()}
+    assert ets_rows["22 months"] == ets_rows["14 months"] == "NO_ROLLING_ORIGIN"
+
+
+def test_changepoints_follow_the_training_rows(spark):
+    from seriesloom.operators.forecasters import trend
+
+    for n in (24, 80, 400):
+        at = trend.changepoints(n)
+        assert len(at) == trend.KNOTS and at[0] > 0 and at[-1] == pytest.approx(0.8 * n)
+    assert len(trend.changepoints(1)) == 0
+    bent = [10.0] * 100 + [10.0 + 2 * i for i in range(80)]  # the bend lies after row 80
+    holdout, _ = trend.backtest(series(spark, bent))
+    assert max(abs(r["Actual"] - r["Forecast"]) for r in holdout.collect()) < 15
