@@ -5,9 +5,10 @@ seed is tied to its first document (least doc_id), so a seed of m documents give
 of a document with one earlier document are merged along their diagonals and chained in the order of both texts: the
 best chain ending in a match is its length plus the best of the chains before it, less a cost for the gaps, found by a
 prefix maximum in a Fenwick tree. The chains are aligned on the words of both texts (gaps by longest common
-subsequence, ends by extension until mismatches outweigh matches), which makes fuzzy passages whole. Passages of all
-earlier documents are united; those of MIN_WORDS words or more are the result. Copies of a whole text are found by hash
-and name the least doc_id of their text.
+subsequence, ends by extension until mismatches outweigh matches), which makes fuzzy passages whole. Every chain is
+aligned, also that of a single seed: only the alignment shows how long its passage is. Passages of all earlier documents
+are united; those of MIN_WORDS words or more are the result. Copies of a whole text are found by hash and name the least
+doc_id of their text.
 
 Only matches with earlier documents count, so the first occurrence of a passage stays. A repeat within one document is
 no match. Null texts, and texts shorter than a passage, have none. Repeated rows and rows without doc_id: rows of one
@@ -17,7 +18,7 @@ are ignored. Positions count words `[^\\x20\\x09-\\x0D]+` from 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,11 @@ from pyspark.sql import functions as F
 
 from .common import NAMED, chunks, drop, id_text, table, text_hash, windows, word_counts, word_hashes, written
 
-K, WINDOW = 8, 12
+#: Any unchanged run of K + WINDOW - 1 = 9 words shares a seed, so a passage of which every tenth word is changed has several.
+K, WINDOW = 5, 5
 MIN_WORDS = 50
+#: Matched words that a piece of a passage has at least; pieces are joined to passages.
+MIN_PIECE = 8
 #: Cost of a word of gap in a chain; widest gap between matches that alignment bridges; words looked at beyond an end.
 GAP_COST, MAX_GAP, REACH = 0.2, 32, 64
 #: An end stops where mismatches (each worth two matches) have cost this much; a passage ends at longer mismatches.
@@ -157,43 +161,32 @@ def chain(segments: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
 
 
 def chains(matches: DataFrame) -> DataFrame:
-    """doc_id, source and the segments (chain, pos, src, length) of the chains that may be part of a passage."""
+    """doc_id, its sources and for each the segments (chain, pos, src, length) of all chains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_key(batches, "doc_id"):
             doc = group.column("doc_id")[0].as_py()
             pos, source, src = (group.column(c).to_numpy() for c in ("pos", "source", "src_pos"))
             found = [(s, c) for s in np.unique(source) for c in chain(diagonals(pos[source == s], src[source == s]))]
-            # A passage's first and last whole windows hold seeds; a few words more allow for a change at an end.
-            spans = sorted((c[0][0] - WINDOW - 4, c[-1][0] + c[-1][2] + WINDOW + 4, i) for i, (_, c) in enumerate(found))
-            clusters: list[list] = []
-            for a, b, i in spans:
-                if clusters and a <= clusters[-1][1]:
-                    clusters[-1][1] = max(b, clusters[-1][1])
-                    clusters[-1][2].append(i)
-                else:
-                    clusters.append([a, b, [i]])
             kept: dict[int, list] = {}
-            for i in sorted(i for a, b, members in clusters if b - a >= MIN_WORDS for i in members):
-                kept.setdefault(int(found[i][0]), []).extend((i, *x) for x in found[i][1])
-            if kept:  # one row for each source, so that texts are fetched once
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * len(kept), pa.int64()), pa.array(list(kept), pa.int64()), pa.array([np.array(x, dtype="<i4").tobytes() for x in kept.values()], pa.binary())],
-                    names=["doc_id", "source", "segments"],
-                )
+            for i, (of, segments) in enumerate(found):  # what a chain reaches shows only when it is aligned
+                kept.setdefault(int(of), []).extend((i, *x) for x in segments)
+            # One row for each document, so that its text is fetched once.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc], pa.int64()), pa.array([list(kept)], pa.list_(pa.int64())), pa.array([[np.array(x, dtype="<i4").tobytes() for x in kept.values()]], pa.list_(pa.binary()))],
+                names=["doc_id", "sources", "segments"],
+            )
 
-    return matches.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, "doc_id long, source long, segments binary")
+    return matches.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, "doc_id long, sources array<long>, segments array<binary>")
 
 
-def _regions(batch: pa.RecordBatch, side: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first word, word hashes) of the part of each text that the chains may touch; side 0 the document, 1 the source."""
-    distinct = batch.column("text").dictionary_encode()
+def _regions(texts: pa.Array, rows: Iterable[int], segments: pa.Array, side: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first word, word hashes) of the part of its row's text that each list of segments may touch; side 0 the document, 1 the source."""
+    distinct = texts.dictionary_encode()
     hashes, starts = word_hashes(distinct.dictionary)
-    for code, raw in zip(distinct.indices.to_pylist(), batch.column("segments").to_pylist(), strict=True):
-        if code is None:
-            yield 0, np.zeros(0, np.uint32)
-            continue
-        found = np.frombuffer(raw, dtype="<i4").reshape(-1, 4)
+    codes = distinct.indices.to_pylist()
+    for row, raw in zip(rows, segments.to_pylist(), strict=True):
+        found, code = np.frombuffer(raw, dtype="<i4").reshape(-1, 4), codes[row]
         low = max(0, int(found[:, 1 + side].min()) - REACH)
         high = int((found[:, 1 + side] + found[:, 3]).max()) + REACH
         yield low, hashes[starts[code] : starts[code + 1]][low:high].astype(np.uint32)
@@ -205,8 +198,10 @@ def _straight(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     equal = a[:n] == b[:n]
     score = np.cumsum(np.where(equal, 1, -2))
     fallen = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
-    score = score[: fallen[0]] if len(fallen) else score
-    return equal[: int(np.argmax(score)) + 1] if len(score) and score.max() > 0 else equal[:0]
+    n = int(fallen[0]) if len(fallen) else n
+    # The end is where matches outnumber mismatches most, the last such place: a change near the end does not cut it off.
+    score = np.cumsum(np.where(equal[:n], 1, -1))
+    return equal[: n - int(np.argmax(score[::-1]))] if n and score.max() > 0 else equal[:0]
 
 
 def _extent(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -263,7 +258,7 @@ def aligned(segments: np.ndarray, a: np.ndarray, a_from: int, b: np.ndarray, b_f
     out = []
     for run in np.split(at, np.flatnonzero(np.diff(at) > MAX_MISS + 1) + 1) if len(at) else []:
         start, end = int(run[0]), int(run[-1]) + 1
-        if len(run) >= IDENTITY * (end - start) and len(run) >= K:
+        if len(run) >= IDENTITY * (end - start) and len(run) >= MIN_PIECE:
             out.append((a_from + start, a_from + end, len(run)))
     return out
 
@@ -296,13 +291,16 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            regions = list(_regions(batch, 0))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "segments")), pa.array([x for x, _ in regions], pa.int32()), pa.array([x.tobytes() for _, x in regions], pa.binary())], names=["doc_id", "source", "segments", "a_from", "a"])
+            lists = batch.column("sources")
+            each = pc.list_parent_indices(lists)
+            flat = pa.RecordBatch.from_arrays([batch.column("doc_id").take(each), pc.list_flatten(lists), pc.list_flatten(batch.column("segments"))], names=["doc_id", "source", "segments"])
+            regions = list(_regions(batch.column("text"), each.to_pylist(), flat.column("segments"), 0))
+            yield pa.RecordBatch.from_arrays([*flat.columns, pa.array([x for x, _ in regions], pa.int32()), pa.array([x.tobytes() for _, x in regions], pa.binary())], names=["doc_id", "source", "segments", "a_from", "a"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             rows = []
-            for i, (b_from, b) in enumerate(_regions(batch, 1)):
+            for i, (b_from, b) in enumerate(_regions(batch.column("text"), range(batch.num_rows), batch.column("segments"), 1)):
                 segments = np.frombuffer(batch.column("segments")[i].as_py(), dtype="<i4").reshape(-1, 4)
                 a, a_from = np.frombuffer(batch.column("a")[i].as_py(), dtype=np.uint32), batch.column("a_from")[i].as_py()
                 for one in np.split(segments[:, 1:], np.flatnonzero(np.diff(segments[:, 0])) + 1):
@@ -330,7 +328,7 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "start_word", "end_word", "n_words", "source_id"])
 
     linked = chains(matches.join(copies.select("doc_id"), "doc_id", "left_anti"))
-    sliced = linked.join(texts, F.col("doc_id") == F.col("of")).select("doc_id", "source", "segments", "text").mapInArrow(cut, "doc_id long, source long, segments binary, a_from int, a binary")
+    sliced = linked.join(texts, F.col("doc_id") == F.col("of")).select("doc_id", "sources", "segments", "text").mapInArrow(cut, "doc_id long, source long, segments binary, a_from int, a binary")
     pieces = sliced.join(texts, F.col("source") == F.col("of")).select("doc_id", "source", "segments", "a_from", "a", "text").mapInArrow(align, "doc_id long, start_word long, end_word long, matched long, source_id long")
     result = "doc_id long, start_word long, end_word long, n_words long, source_id long"
     fuzzy = pieces.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(unite, result)

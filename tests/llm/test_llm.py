@@ -279,6 +279,24 @@ def test_passages_planted_fuzzy_and_odd(spark):
     assert passages.passages(docs.limit(0)).count() == 0
 
 
+def test_passages_of_low_identity(spark):
+    """Passages of 50 to 100 words with 5 to 20 % of the words changed: found, with ends as far as matches reach."""
+    rng = np.random.default_rng(7)
+    fresh = lambda n: [f"q{x}" for x in rng.integers(0, 10**9, n)]
+    rows, planted = [], {}
+    for i, (n, share) in enumerate([(n, share) for n in (55, 70, 100) for share in (0.05, 0.1, 0.15, 0.18) for _ in range(15)] + [(n, None) for n in (59, 79, 99) for _ in range(15)]):
+        passage, other = fresh(n), fresh(n)
+        changed = np.arange(n) % 10 == 9 if share is None else np.isin(np.arange(n), 1 + rng.choice(n - 2, int(n * share), replace=False))
+        same = [p for p in range(n) if not changed[p]]
+        rows += [(i, fresh(40) + passage + fresh(40)), (1000 + i, fresh(30) + [o if c else p for p, o, c in zip(passage, other, changed, strict=True)] + fresh(50))]
+        planted[1000 + i] = (share, 30 + same[0], 30 + same[-1] + 1, i)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], EMPTY)
+    got = {(r.doc_id, r.source_id): (r.start_word, r.end_word) for r in passages.passages(docs).collect()}
+    found = {i: (x := got.get((i, source))) is not None and x[0] <= a + 6 and x[1] >= b - 6 for i, (_, a, b, source) in planted.items()}
+    for share in (0.05, 0.1, 0.15, 0.18, None):
+        assert np.mean([found[i] for i, x in planted.items() if x[0] == share]) >= (0.9 if share == 0.18 else 0.97), share
+
+
 def test_chain_is_the_best_of_all():
     rng = np.random.default_rng(4)
     for _ in range(30):
