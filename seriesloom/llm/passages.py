@@ -35,7 +35,7 @@ MIN_WORDS = 50
 MIN_PIECE = 8
 #: Cost of a word of gap in a chain; widest gap between matches that alignment bridges; words looked at beyond an end.
 GAP_COST, MAX_GAP, REACH = 0.2, 32, 64
-#: An end stops where mismatches (each worth two matches) have cost this much; a passage ends at longer mismatches.
+#: An end stops where mismatches (each worth two matches) have cost this much; a piece of a passage ends at longer mismatches.
 DROP, MAX_MISS = 10, 6
 #: Words by which an end may shift to go on, and equal words that it must then find.
 SHIFT, AFTER_SHIFT = 8, 5
@@ -239,6 +239,28 @@ def _common(a: list[int], b: list[int]) -> list[bool]:
     return hits
 
 
+def _dense(starts: np.ndarray, ends: np.ndarray, matched: np.ndarray) -> list[tuple[int, int]]:
+    """Longest spans, from a start to an end, in which at least IDENTITY of the words match; none overlaps another.
+
+    Starts and ends belong to pieces in order; matched[i] counts the matches before word i.
+    """
+    over_start, over_end = matched[starts] - IDENTITY * starts, matched[ends] - IDENTITY * ends + 1e-6
+    out, todo = [], [(0, len(starts))]
+    while todo:
+        low, high = todo.pop()
+        if low >= high:
+            continue
+        # The furthest end that is dense from each start: the best surplus from an end on never rises.
+        rest = np.maximum.accumulate(over_end[low:high][::-1])[::-1]
+        last = low + np.searchsorted(-rest, -over_start[low:high], side="right") - 1
+        length = np.where(last >= np.arange(low, high), ends[last] - starts[low:high], 0)
+        i = int(np.argmax(length))
+        if length[i] > 0:
+            out.append((int(starts[low + i]), int(ends[last[i]])))
+            todo += [(low, low + i), (int(last[i]) + 1, high)]
+    return sorted(out)
+
+
 def aligned(segments: np.ndarray, a: np.ndarray, a_from: int, b: np.ndarray, b_from: int) -> list[tuple[int, int, int]]:
     """Passages (start, end, matched words) of the document along one chain."""
     hit = np.zeros(len(a), dtype=bool)
@@ -255,11 +277,12 @@ def aligned(segments: np.ndarray, a: np.ndarray, a_from: int, b: np.ndarray, b_f
     right = _extent(a[last[0] :], b[last[1] :])
     hit[last[0] : last[0] + len(right)] |= right
     at = np.flatnonzero(hit)
+    matched = np.concatenate(([0], np.cumsum(hit)))
     out = []
-    for run in np.split(at, np.flatnonzero(np.diff(at) > MAX_MISS + 1) + 1) if len(at) else []:
-        start, end = int(run[0]), int(run[-1]) + 1
-        if len(run) >= IDENTITY * (end - start) and len(run) >= MIN_PIECE:
-            out.append((a_from + start, a_from + end, len(run)))
+    for block in np.split(at, np.flatnonzero(np.diff(at) > MAX_GAP + 1) + 1) if len(at) else []:
+        pieces = [x for run in np.split(block, np.flatnonzero(np.diff(block) > MAX_MISS + 1) + 1) for x in _dense(run, run + 1, matched)]
+        pieces = np.array([x for x in pieces if matched[x[1]] - matched[x[0]] >= MIN_PIECE], dtype=np.int64).reshape(-1, 2)
+        out += [(a_from + start, a_from + end, int(matched[end] - matched[start])) for start, end in _dense(pieces[:, 0], pieces[:, 1], matched)]
     return out
 
 

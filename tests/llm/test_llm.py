@@ -297,6 +297,20 @@ def test_passages_of_low_identity(spark):
         assert np.mean([found[i] for i, x in planted.items() if x[0] == share]) >= (0.9 if share == 0.18 else 0.97), share
 
 
+def test_passages_with_a_sentence_in_the_middle(spark):
+    """Words put in or replaced in the middle don't part a passage while enough of it matches."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: [f"q{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], {}
+    for i, (n, more, gone) in enumerate([(80, 7, 0), (80, 7, 7), (90, 8, 0), (98, 12, 0), (60, 8, 0), (64, 9, 9), (100, 20, 0), (60, 40, 0)]):
+        passage, half = fresh(n), n // 2
+        rows += [(i, fresh(40) + passage + fresh(40)), (100 + i, fresh(30) + passage[:half] + fresh(more) + passage[half + gone :] + fresh(50))]
+        if n - gone >= 0.8 * (n + more - gone):
+            want[100 + i] = (30, 30 + n + more - gone, i)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], EMPTY)
+    assert {r.doc_id: (r.start_word, r.end_word, r.source_id) for r in passages.passages(docs).collect()} == want
+
+
 def test_chain_is_the_best_of_all():
     rng = np.random.default_rng(4)
     for _ in range(30):
