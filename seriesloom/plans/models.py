@@ -1,13 +1,12 @@
 """Queries: the model jobs. Their fits have no SQL twin; tests hold their invariants.
 
-Trees are few here: the query shows the job, the library default is the full size.
+Trees, folds and holdouts are those of the configuration.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesloom import config as cfg
 from seriesloom.functions.labels import model_group
 from seriesloom.functions.lineage import cut_lineage
 from seriesloom.operators import blend as B
@@ -23,9 +22,6 @@ from seriesloom.plans.snapshots import Inputs, _asof
 from seriesloom.schema import SERIES
 from seriesloom.sources import driver_tables as D
 
-FEW = cfg.BoostConfig(trees=5, depth=3)
-SPIKE = cfg.SpikeConfig(folds=2)
-
 
 def orders_of(fact):
     """A fixed order for every series; a searched order table has the same columns."""
@@ -117,12 +113,12 @@ def trend_backtest(spark, sf):
 @query("boosted_backtest")
 def boosted_backtest(spark, sf):
     fact = fact_of(spark, sf)
-    return per_series(fact, *boosting.backtest(fact, folds=3, config=FEW), "ML_GBR")
+    return per_series(fact, *boosting.backtest(fact), "ML_GBR")
 
 
 @query("boosted_forecast")
 def boosted_forecast(spark, sf):
-    return boosting.forecast(fact_of(spark, sf), config=FEW)
+    return boosting.forecast(fact_of(spark, sf))
 
 
 @query("snapshot_baseline")
@@ -135,34 +131,34 @@ def snapshot_baseline(spark, sf):
 @query("residual_model")
 def residual_model(spark, sf):
     i = Inputs(spark, sf)
-    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary(), holdout_months=3, config=FEW)
+    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary())
     return tables["per_series"]
 
 
 @query("residual_forecast")
 def residual_forecast(spark, sf):
     i = Inputs(spark, sf)
-    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary(), holdout_months=1, config=FEW)
+    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary())
     return tables["forecast"].select(*SERIES, "snapshot_month", "target_month", "baseline_pred", "adjustment_pred", "final_pred")
 
 
 @query("spike_model")
 def spike_model(spark, sf):
     features = cut_lineage(_asof(spark, sf)[1])
-    return spike.evaluate(features, 1.5, SPIKE, FEW)[1].select(
+    return spike.evaluate(features, 1.5)[1].select(
         *SERIES, "Month", "Actuals", "baseline_pred", "spike_prob", "spike_mag_pred", "final_forecast")
 
 
 @query("spike_importance")
 def spike_importance(spark, sf):
     features = cut_lineage(_asof(spark, sf)[1])
-    return spike.evaluate(features, 1.5, SPIKE, FEW)[0].importance(spark)
+    return spike.evaluate(features, 1.5)[0].importance(spark)
 
 
 @query("spike_tuning")
 def spike_tuning(spark, sf):
     features = cut_lineage(_asof(spark, sf)[1])
-    return spike.tuned(spike.tune(features, SPIKE, FEW))
+    return spike.tuned(spike.tune(features))
 
 
 def full_backtest(fact_with_signals):
@@ -174,7 +170,7 @@ def full_backtest(fact_with_signals):
         ets.backtest(fact),
         trend.backtest(fact),
         sba.sba_backtest(fact),
-        boosting.backtest(fact, folds=2, config=FEW),
+        boosting.backtest(fact),
     ]
     columns = [*SERIES, "Model", "Date", "Actual", "Forecast"]
     holdout = rocv = None

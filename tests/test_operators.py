@@ -1,5 +1,6 @@
 """Fixed values, edge cases and brute-force checks on small fixtures."""
 
+import inspect
 import math
 import random
 import statistics
@@ -17,6 +18,7 @@ from seriesloom.operators import metrics as M
 from seriesloom.operators import prepare as P
 from seriesloom.operators import snapshots as S
 from seriesloom.operators.forecasters import sba, spike
+from seriesloom.plans import load
 
 FACT = "Product string, Division string, Month date, Actuals double"
 
@@ -257,3 +259,31 @@ def test_changepoints_follow_the_training_rows(spark):
     bent = [10.0] * 100 + [10.0 + 2 * i for i in range(80)]  # the bend lies after row 80
     holdout, _ = trend.backtest(series(spark, bent))
     assert max(abs(r["Actual"] - r["Forecast"]) for r in holdout.collect()) < 15
+
+
+@pytest.mark.parametrize("name", ["boosted_backtest", "boosted_forecast", "residual_model", "residual_forecast", "spike_model", "spike_importance", "spike_tuning", "full_backtest"])
+def test_registered_tree_models_have_the_configured_size(spark, monkeypatch, name):
+    from seriesloom.operators.forecasters import boosting, spike
+    from seriesloom.plans import models
+
+    class Called(Exception):
+        pass
+
+    def recorded(function):
+        def stop(*args, **kwargs):
+            bound = inspect.signature(function).bind(*args, **kwargs)
+            bound.apply_defaults()
+            raise Called(bound.arguments)
+
+        return stop
+
+    for module, function in ((boosting, "backtest"), (boosting, "forecast"), (boosting, "snapshot_model_run"), (spike, "evaluate"), (spike, "tune")):
+        monkeypatch.setattr(module, function, recorded(getattr(module, function)))
+    for module, function in ((models.arima, "backtest"), (models.ets, "backtest"), (models.trend, "backtest"), (models.sba, "sba_backtest")):
+        monkeypatch.setattr(module, function, lambda *args, **kwargs: (None, None))
+    monkeypatch.setattr(models, "sarimax_backtest", lambda fact: (None, None))
+    with pytest.raises(Called) as call:
+        load()[0][name](spark, "/root/testdata/sf0.001")
+    used = call.value.args[0]
+    assert used["config"] == cfg.BoostConfig() and used.get("spike", cfg.SpikeConfig()) == cfg.SpikeConfig()
+    assert used.get("folds", 12) == 12 and used.get("holdout_months", 12) == 12
