@@ -4,8 +4,11 @@ A public vocabulary with byte fallback cuts each word into pieces. Text unlike i
 word, falls back to bytes, or spends its tokens on few pieces. What is normal depends on the language and, for the
 entropy, on the length, so there is one band per (language, length class): median and median absolute deviation over
 all documents that pass the base rules, documents with the same figures counting once so that copies don't set a band.
-Where a class has too few documents, the band of its length over all languages holds; where that has too few as well,
-the method rejects nothing.
+Where a class has too few documents, the first of these bands that has enough holds: its length over all languages, the
+nearest length class of the language (at most NEAR classes away), the nearest over all languages, the language over all
+lengths, all documents however few. Entropy grows with length, so a band that stands in judges it only for documents of
+its (median) length class or longer. Where no band of the language itself holds, the byte-fallback share has an
+absolute bound besides.
 
 Words are `[^\\x20\\x09-\\x0D]+`. Nulls and empty texts have no words and fail the base rule. A null language is one of
 its own. Repeated rows are judged alike. An empty table gives no row. Extra columns are ignored.
@@ -34,7 +37,11 @@ BOTH_BELOW = (-2.5, -2.0)
 LEAST_CHARS_DEV, LEAST_ENTROPY_DEV = 0.045, 0.12
 #: Byte-fallback share above the median.
 MAX_BYTES_ABOVE = 0.2
+#: Byte-fallback share of a document whose language has no band of its own.
+MAX_BYTES = 0.5
 MIN_GROUP = 30
+#: Length classes (half octaves) to a band that stands in.
+NEAR = 2
 #: Distinct words whose pieces a worker remembers; it only saves time.
 REMEMBERED = 500_000
 
@@ -133,11 +140,11 @@ def document_figures(docs: DataFrame, model: str) -> DataFrame:
     return source.mapInArrow(run, FIGURES)
 
 
-def _bands(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Median and least-bounded deviation of the figures in each group that has MIN_GROUP cells."""
+def _bands(cells: DataFrame, keys: list[str], least_cells: int = MIN_GROUP) -> DataFrame:
+    """Median and least-bounded deviation of the figures in each group that has enough cells."""
     figures = ["chars", "entropy", "byte_share"]
     middle = cells.groupBy(*(F.col(k).alias(f"{k}_") for k in keys)).agg(*(F.percentile(c, F.lit(0.5)).alias(f"{c}_mid") for c in figures), F.count("*").alias("n"))
-    middle = middle.where(F.col("n") >= MIN_GROUP).drop("n")
+    middle = middle.where(F.col("n") >= least_cells).drop("n")
     same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
     dev = [F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3) for c in figures]
     wide = cells.join(middle, same).groupBy(*keys, *(f"{c}_mid" for c in figures)).agg(
@@ -164,21 +171,48 @@ def judge(docs: DataFrame, model: str) -> DataFrame:
     figures = written(figures, "quality")
     cells = figures.where(~F.col("base_failed")).select("lang", "length_class", "n_tokens", "chars", "entropy", "byte_share").distinct()
     cells = cells.select("lang", "length_class", "chars", "entropy", "byte_share")
-    own = _bands(cells, ["lang", "length_class"])
-    every = _bands(cells, ["length_class"])
     names = ["chars_mid", "entropy_mid", "byte_share_mid", "chars_dev", "entropy_dev"]
-    own = own.select(F.col("lang").alias("own_lang"), F.col("length_class").alias("own_class"), *(F.col(c).alias(f"own_{c}") for c in names))
-    every = every.select(F.col("length_class").alias("any_class"), *(F.col(c).alias(f"any_{c}") for c in names))
-    joined = figures.join(own, F.col("lang").eqNullSafe(F.col("own_lang")) & (F.col("length_class") == F.col("own_class")), "left")
-    joined = joined.join(every, F.col("length_class") == F.col("any_class"), "left")
-    band = {c: F.coalesce(F.col(f"own_{c}"), F.col(f"any_{c}")) for c in names}
-    z_chars = (F.col("chars") - band["chars_mid"]) / band["chars_dev"]
-    z_entropy = (F.col("entropy") - band["entropy_mid"]) / band["entropy_dev"]
-    rejected = (
-        _outside(z_chars, CHARS_BAND) | _outside(z_entropy, ENTROPY_BAND)
-        | ((z_chars < BOTH_BELOW[0]) & (z_entropy < BOTH_BELOW[1]))
-        | (F.col("byte_share") - band["byte_share_mid"] > MAX_BYTES_ABOVE)
+    middle = F.percentile("length_class", F.lit(0.5))
+    known = F.struct(*names)
+    own = _bands(cells, ["lang", "length_class"]).select(F.col("lang").alias("own_lang"), F.col("length_class").alias("own_class"), known.alias("own_band"))
+    every = _bands(cells, ["length_class"]).select(F.col("length_class").alias("any_class"), known.alias("any_band"))
+    by_lang = cells.groupBy(F.col("lang").alias("mid_lang")).agg(middle.alias("lang_mid"))
+    language = _bands(cells, ["lang"]).select(F.col("lang").alias("all_lang"), known.alias("lang_band"))
+    total = _bands(cells.withColumn("one", F.lit(1)), ["one"], 1).select("one", known.alias("all_band"))
+    total = total.join(cells.agg(F.lit(1).alias("same"), middle.alias("all_mid")), F.col("one") == F.col("same"))
+    # A row for each language and length class: which bands there are. These tables do not grow with the documents.
+    groups = figures.where("length_class IS NOT NULL").select("lang", "length_class").distinct().withColumn("one_", F.lit(1))
+    keys = ["lang", "length_class"]
+
+    def nearest(band: str, at: str) -> Column:
+        away = F.abs(F.col(at) - F.col("length_class"))
+        return F.min_by(F.when(away <= NEAR, F.struct(F.col(band).alias("band"), F.col(at).alias("at"))), F.struct(away, at))
+
+    near_own = groups.join(own, F.col("lang").eqNullSafe(F.col("own_lang"))).groupBy(*keys).agg(
+        F.max(F.when(F.col("own_class") == F.col("length_class"), F.col("own_band"))).alias("own"), nearest("own_band", "own_class").alias("near_own"))
+    near_any = groups.join(every.withColumn("one", F.lit(1)), F.col("one") == F.col("one_")).groupBy(*keys).agg(
+        F.max(F.when(F.col("any_class") == F.col("length_class"), F.col("any_band"))).alias("any"), nearest("any_band", "any_class").alias("near_any"))
+    for found, tag in ((near_own, "o"), (near_any, "a")):
+        found = found.withColumnsRenamed({k: f"{k}_{tag}" for k in keys})
+        groups = groups.join(found, F.col("lang").eqNullSafe(F.col(f"lang_{tag}")) & (F.col("length_class") == F.col(f"length_class_{tag}")), "left")
+    groups = groups.join(language, F.col("lang").eqNullSafe(F.col("all_lang")), "left").join(by_lang, F.col("lang").eqNullSafe(F.col("mid_lang")), "left")
+    groups = groups.join(total, F.col("one_") == F.col("one"), "left")
+    # The length class that the band stands for; a document shorter than that has less entropy anyway.
+    stands_for = F.when(F.coalesce("own", "any").isNotNull(), F.col("length_class")).otherwise(
+        F.coalesce("near_own.at", "near_any.at", F.when(F.col("lang_band").isNotNull(), F.col("lang_mid")), "all_mid"))
+    groups = groups.select(
+        F.col("lang").alias("band_lang"), F.col("length_class").alias("band_class"), (F.col("length_class") < stands_for).alias("no_entropy"),
+        F.coalesce("own", "near_own.band", "lang_band").isNull().alias("strange"), F.coalesce("own", "any", "near_own.band", "near_any.band", "lang_band", "all_band").alias("band"),
     )
+    joined = figures.join(groups, F.col("lang").eqNullSafe(F.col("band_lang")) & (F.col("length_class") == F.col("band_class")), "left")
+    band = {c: F.col(f"band.{c}") for c in names}
+    z_chars = (F.col("chars") - band["chars_mid"]) / band["chars_dev"]
+    z_entropy = F.when(~F.col("no_entropy"), (F.col("entropy") - band["entropy_mid"]) / band["entropy_dev"])
+    reasons = [
+        _outside(z_chars, CHARS_BAND), _outside(z_entropy, ENTROPY_BAND), (z_chars < BOTH_BELOW[0]) & (z_entropy < BOTH_BELOW[1]),
+        F.col("byte_share") - band["byte_share_mid"] > MAX_BYTES_ABOVE, F.coalesce(F.col("strange"), F.lit(True)) & (F.col("byte_share") > MAX_BYTES),
+    ]
+    rejected = F.greatest(*reasons)  # a reason that cannot be judged is null and passed over
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))).alias("kept"),

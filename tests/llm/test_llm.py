@@ -195,6 +195,16 @@ def test_fertility_bands_find_symbol_text(spark):
     assert np.mean([r.kept for r in rows if r.quality == 0]) <= 0.3
 
 
+def test_fertility_judges_a_document_alone_in_its_length_class(spark, docs):
+    rng = np.random.default_rng(3)
+    rare = " ".join("".join(chr(int(c)) for c in rng.integers(0x12000, 0x12300, 4)) for _ in range(30000))
+    alone = spark.createDataFrame([(10**6, rare, "xx"), (10**6 + 1, rare, "en")], "doc_id long, text string, lang string")
+    rows = quality.judge(docs.select("doc_id", "text", "lang").union(alone), P.path("piece_bpe_32k.model")).where("doc_id >= 1000000").collect()
+    assert [(r.base_failed, r.kept) for r in rows] == [(False, False)] * 2
+    only = quality.judge(alone, P.path("piece_bpe_32k.model")).collect()
+    assert [(r.base_failed, r.kept) for r in only] == [(False, False)] * 2
+
+
 def test_prob_min_hash_estimates():
     rng = np.random.default_rng(5)
     a, b = (np.sort(rng.choice(2**40, 300, replace=False).astype(np.uint64)) for _ in range(2))
