@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, extraction, licences, near_dups, neighbours, packing, passages, quality, sharding, token_files
+from . import byte_bpe, collocations, extraction, licences, near_dups, neighbours, packing, passages, quality, sharding, token_files
 
-MODULES = [token_files, extraction, quality, passages, near_dups, sharding, byte_bpe, neighbours, licences, packing]
+MODULES = [token_files, extraction, quality, passages, near_dups, sharding, byte_bpe, neighbours, licences, packing, collocations]
 
 
 def load() -> tuple[dict, dict]:
