@@ -7,7 +7,8 @@ phrase length in turn
 1. every shard is mined completely: its blocks count their phrases, the counts of a shard are summed, and a phrase is
    locally frequent if it reaches the shard's part of the support, ceil(support * words of the shard / all words);
 2. the locally frequent phrases of all shards together are the candidates: a phrase that reaches the support overall
-   reaches its part in one shard at least, so none is missed;
+   reaches its part in one shard at least, so none is missed; the shards' sums stand in one row by then, and those
+   that stay below the support together go at once;
 3. every block counts all candidates that it holds, whichever shard they come from, and these counts, keyed by the
    words themselves, are summed over all blocks.
 
@@ -222,27 +223,36 @@ def _level(k: int, longest: int):
 # ---- SON --------------------------------------------------------------------
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): lang, phrase, k, f of all phrases of 1 to `longest` words found `support` times; lang, n words."""
-    spark, before = docs.sparkSession, set(NAMED)
+    spark, before, texts = docs.sparkSession, set(NAMED), ["block", "shard", "lang", "words", "codes"]
     made = written(blocks(docs, shards), "blocks")
+    old = [NAMED[-1]]
     by_shard = made.groupBy("shard", "lang").agg(F.sum("n").alias("n_shard"))
     totals = written(made.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     # ceil(support * n_shard / n) in whole numbers.
     need = F.expr(f"cast((cast({support} as decimal(20,0)) * n_shard + n - 1) div n as long)")
-    local = written(by_shard.join(totals, "lang").select("shard", "lang", need.alias("need")), "local")
-    counts, stage = None, made.select("block", "shard", "lang", "words", "codes")
+    local = by_shard.join(totals, "lang").groupBy("lang").agg(*[F.max(F.when(F.col("shard") == i, need)).alias(f"need_{i}") for i in range(shards)])
+    local = written(local, "local")
+    counts, stage = None, made.select(*texts)
     for k in range(1, longest + 2):
         level = written(stage.mapInArrow(_level(k, longest), LEVEL), f"level-{k}")
+        latest = NAMED[-1]
         if k > 1:
-            part = level.where("kind = 'count'").select("lang", "phrase", F.lit(k - 1).alias("k"), "n")
+            part = written(level.where("kind = 'count'").select("lang", "phrase", F.lit(k - 1).alias("k"), "n"), f"counts-{k - 1}")
             counts = part if counts is None else counts.unionByName(part)
+            drop(spark, old)
+            old = []
+        old.append(latest)
         if k > longest:
             break
         mined = level.where("kind = 'mine'").select("block", "shard", "lang", "key", "n")
-        sums = mined.groupBy("shard", "lang", "key").agg(F.sum("n").alias("n"))
-        candidates = written(sums.join(local, ["shard", "lang"]).where("n >= need").select("lang", "key").distinct(), f"candidates-{k}")
+        # The counts of all shards side by side, so that one shuffle serves the shards and the sum of them.
+        sums = mined.groupBy("lang", "key").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("shard") == i, F.col("n"))).alias(f"n_{i}") for i in range(shards)])
+        frequent = F.lit(False)
+        for i in range(shards):
+            frequent |= F.coalesce(F.col(f"n_{i}") >= F.col(f"need_{i}"), F.lit(False))
+        candidates = written(sums.where(F.col("n") >= support).join(local, "lang").where(frequent).select("lang", "key"), f"candidates-{k}")
         held = mined.select("block", "lang", "key").join(candidates, ["lang", "key"], "left_semi").groupBy("block").agg(F.collect_list("key").alias("keys"))
-        texts = made.select("block", "shard", "lang", "words", "codes") if k == 1 else level.where("kind = 'block'").select("block", "shard", "lang", "words", "codes")
-        stage = texts.join(held, "block")
+        stage = (made if k == 1 else level.where("kind = 'block'")).select(*texts).join(held, "block")
     phrases = counts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
     phrases = written(phrases, "phrases")
     drop(spark, [x for x in NAMED if x not in before and not x.rsplit("/", 1)[1].startswith(("phrases-", "totals-"))])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, collocations, extraction, licences, near_dups, neighbours, packing, passages, quality, sharding, token_files
+from . import archives, byte_bpe, collocations, extraction, licences, near_dups, neighbours, packing, passages, quality, sharding, token_files, vector_codes
 
-MODULES = [token_files, extraction, quality, passages, near_dups, sharding, byte_bpe, neighbours, licences, packing, collocations]
+MODULES = [token_files, extraction, quality, passages, near_dups, sharding, byte_bpe, neighbours, licences, packing, archives, vector_codes, collocations]
 
 
 def load() -> tuple[dict, dict]:
