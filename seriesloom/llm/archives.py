@@ -403,7 +403,7 @@ def read_warc(files: DataFrame) -> DataFrame:
         for batch in batches:
             for file in batch.column("file").to_pylist():
                 rows = []
-                for fields, block in wread_arc(file):
+                for fields, block in warc_records(_opened(file)):
                     kind = fields["warc-type"]
                     if kind == "warcinfo":
                         continue
