@@ -1,21 +1,22 @@
 """Phrase collocations by SON partitioning.
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends, and written as blocks: the words of one
-language in one task's rows as numbers into the block's own word list. Blocks are dealt to SHARDS shards. For each
-phrase length in turn
-
-1. every shard is mined completely: its blocks count their phrases, the counts of a shard are summed, and a phrase is
-   locally frequent if it reaches the shard's part of the support, ceil(support * words of the shard / all words);
-2. the locally frequent phrases of all shards together are the candidates: a phrase that reaches the support overall
-   reaches its part in one shard at least, so none is missed; the shards' sums stand in one row by then, and those
-   that stay below the support together go at once;
-3. every block counts all candidates that it holds, whichever shard they come from, and these counts, keyed by the
+language in one task's rows as numbers into the block's own word list. Blocks are dealt to SHARDS shards.
+
+1. Every shard is mined completely: its blocks count all their phrases of 1 to 5 words, the counts of a shard are summed,
+   and a phrase is locally frequent if it reaches the shard's part of the support,
+   ceil(support * words of the shard / all words).
+2. The locally frequent phrases of all shards together are the candidates: a phrase that reaches the support overall
+   reaches its part in one shard at least, so none is missed. The shards' sums stand side by side by then, and phrases
+   that stay below the support together go at once.
+3. Every block counts all candidates that it holds, whichever shard they come from, and these counts, keyed by the
    words themselves, are summed over all blocks.
 
-A phrase can only be frequent if its first and its last words are, so a length looks only where two candidates of the
-length before overlap. Mining compares 64-bit hashes of phrases; equal hashes of different phrases could only add a
-candidate, and step 3 compares words. A block learns by a join which of its own phrases are candidates; no set of
-phrases is collected or broadcast by hint. A shard is as many blocks as it needs: no task holds more than a block.
+A phrase travels in step 1 as 48 bits of a hash and its count, sorted and packed by ranges of the hash, and a block gets
+back one bit for each of its phrases. Equal hashes of different phrases could only add a candidate, since step 3 compares
+words. The ranges follow the number of words, so that a task holds about RANGE_PHRASES phrases of them; beyond MOST_RANGES
+ranges the phrases are mined in several passes. No set of phrases is collected or broadcast by hint; a shard is as many
+blocks as it needs, and a phrase reaches its range once per block, so no phrase is hot.
 
 Rows: a null or empty text has no words; repeated rows count each time; a null lang is `und`; an empty table gives no
 row; extra columns are not read. Ranking ties go to the smaller phrase in UTF-8 byte order, and ranks have no ties.
@@ -43,12 +44,17 @@ SUPPORT, LONGEST, TOP = 100, 5, 2000
 #: Parts that are mined by themselves; the local support is about SUPPORT / SHARDS whatever the size of the input.
 SHARDS = 8
 #: Words of a block, at most one chunk of texts more.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_500_000
+#: Phrases of a range, about; ranges of one pass.
+RANGE_PHRASES, MOST_RANGES = 2_000_000, 1 << 14
+BITS = 48
 #: Salts of the first of two rounds that take each language's best.
 SALTS = 64
 
 BLOCKS = "block long, shard int, lang string, words binary, codes binary, n long"
-LEVEL = "kind string, block long, shard int, lang string, key long, phrase string, n long, words binary, codes binary"
+PARCELS = "range int, block long, shard int, need long, data binary"
+REPLIES = "block long, range int, bits binary"
+COUNTS = "lang string, phrase string, k int, n long"
 BREAK = np.uint32(0)
 STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -144,8 +150,8 @@ def _hashes(codes: np.ndarray, of_word: np.ndarray, k: int) -> tuple[np.ndarray,
 
 
 def _counted(codes: np.ndarray, keys: np.ndarray, at: np.ndarray, k: int, words: list[str]) -> tuple[list[str], list[int]]:
-    """Phrases at the places `at` with their counts; places of equal hash but other words are counted one by one."""
-    _, first, inverse, n = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
+    """Phrases at the places `at`, whose keys are given, with their counts; places of equal hash but other words are counted one by one."""
+    _, first, inverse, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
     model = at[first]
     other = np.zeros(len(at), dtype=bool)
     for j in range(k):
@@ -161,61 +167,116 @@ def _counted(codes: np.ndarray, keys: np.ndarray, at: np.ndarray, k: int, words:
     return [*phrases, *found], [*n.tolist(), *found.values()]
 
 
-def _narrowed(codes: np.ndarray, used: np.ndarray, words: list[str]) -> tuple[np.ndarray, list[str]]:
-    """The block without unused words: a break stands for each run of them."""
-    kept = np.where(used, codes, BREAK)
-    doubled = (kept[1:] == BREAK) & (kept[:-1] == BREAK)
-    kept = kept[np.concatenate(([True], ~doubled))] if len(kept) else kept
-    held = np.unique(kept)
-    held = held[held != BREAK]
-    renamed = np.zeros(len(words) + 1, dtype=np.uint32)
-    renamed[held] = np.arange(1, len(held) + 1, dtype=np.uint32)
-    return renamed[kept], [words[c - 1] for c in held.tolist()]
+def _phrases(row: dict, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, places of the block's phrases of k words, their keys): 48 bits of a hash of language, length and words."""
+    words, codes = _words_in(row["words"]), np.frombuffer(_unpack(row["codes"]), dtype=np.uint32)
+    seed = np.uint64(xxhash.xxh3_64_intdigest(row["lang"].encode("utf-8", "surrogatepass")))
+    of_word = np.array([0] + [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+    for k in range(1, longest + 1):
+        keys, whole = _hashes(codes, of_word, k)
+        places = np.flatnonzero(whole)
+        yield k, places, mix(keys[places] ^ seed) >> np.uint64(64 - BITS)
 
 
-def _level(k: int, longest: int):
-    """mapInArrow function: counts the candidates of length k - 1 that a block holds, and all phrases of length k made of them."""
+def _distinct(row: dict, longest: int, passes: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block in order and their counts; of several passes each takes its share of the keys."""
+    found = []
+    for _, _, keys in _phrases(row, longest):
+        found.append(np.unique(keys if passes == 1 else keys[keys % np.uint64(passes) == turn], return_counts=True))
+    keys, n = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    # Two lengths may share a key: their counts are one.
+    first = np.flatnonzero(np.concatenate((keys[:1] == keys[:1], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
-    def rows(kind, block, shard, lang, key=None, phrase=None, n=None):
-        m = len(n)
-        const = [pa.array([kind] * m), pa.array(np.full(m, block, np.int64)), pa.array(np.full(m, shard, np.int32)), pa.array([lang] * m, pa.string())]
-        return pa.RecordBatch.from_arrays(
-            [*const, pa.array(key, pa.int64()) if key is not None else pa.nulls(m, pa.int64()), pa.array(phrase, pa.string()) if phrase is not None else pa.nulls(m, pa.string()),
-             pa.array(n, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=[x.split()[0] for x in LEVEL.split(", ")])
+
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where the ranges of the sorted keys begin; a last entry for the end."""
+    edges = np.arange(ranges + 1, dtype=np.uint64) << np.uint64(BITS - (ranges.bit_length() - 1))
+    return np.searchsorted(keys, edges)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side: high bytes of small numbers are zero and pack to nothing."""
+    return _pack(values.astype("<u8").view("u1").reshape(-1, 8).T.tobytes())
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    raw = _unpack(data)
+    return np.ascontiguousarray(np.frombuffer(raw, dtype="u1").reshape(8, -1).T).view("<u8").reshape(-1)
+
+
+def _mine(longest: int, ranges: int, passes: int, turn: int):
+    """mapInArrow function: a block's phrases and counts, one parcel for each range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {c: batch.column(c)[at] for c in batch.schema.names}
-                block, shard, lang = (row[c].as_py() for c in ("block", "shard", "lang"))
-                words, codes = _words_in(row["words"].as_py()), np.frombuffer(_unpack(row["codes"].as_py()), dtype=np.uint32)
-                of_word = np.array([0] + [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
-                if k > 1:
-                    keys, whole = _hashes(codes, of_word, k - 1)
-                    good = whole & np.isin(keys.view(np.int64), np.asarray(row["keys"].values, dtype=np.int64) if row["keys"].is_valid else np.zeros(0, np.int64))
-                    places = np.flatnonzero(good)
-                    if len(places):
-                        phrases, n = _counted(codes, keys, places, k - 1, words)
-                        for i in range(0, len(n), 100_000):
-                            yield rows("count", block, shard, lang, phrase=phrases[i : i + 100_000], n=n[i : i + 100_000])
-                    starts = np.flatnonzero(good[:-1] & good[1:])
-                else:
-                    starts = np.flatnonzero(codes != BREAK)
-                if k > longest or not len(starts):
-                    continue
-                keys, _ = _hashes(codes, of_word, k)
-                found, n = np.unique(keys[starts], return_counts=True)
-                for i in range(0, len(n), 200_000):
-                    yield rows("mine", block, shard, lang, key=found[i : i + 200_000].view(np.int64), n=n[i : i + 200_000])
-                if k > 1:
-                    used = np.zeros(len(codes), dtype=bool)
-                    for j in range(k):
-                        used[starts + j] = True
-                    codes, words = _narrowed(codes, used, words)
+            for row in batch.to_pylist():
+                keys, n = _distinct(row, longest, passes, turn)
+                cuts = _cuts(keys, ranges)
+                full = np.flatnonzero(np.diff(cuts))
+                data = []
+                for r in full.tolist():
+                    a, b = cuts[r], cuts[r + 1]
+                    data.append(_planes(np.concatenate((np.diff(keys[a:b], prepend=np.uint64(0)), n[a:b].astype(np.uint64)))))
+                m = len(full)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip(["block", block, shard, lang, None, None, None, _words_out(words), _pack(codes.tobytes())],
-                                                      [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()], strict=True)],
-                    names=[x.split()[0] for x in LEVEL.split(", ")])
+                    [pa.array(full, pa.int32()), pa.array([row["block"]] * m, pa.int64()), pa.array([row["shard"]] * m, pa.int32()), pa.array([row["need"]] * m, pa.int64()), pa.array(data, pa.binary())],
+                    names=[x.split()[0] for x in PARCELS.split(", ")])
+
+    return run
+
+
+def _union(shards: int, support: int):
+    """applyInArrow function: local sums of a range's phrases, the candidates among them, a bit for each phrase of each parcel."""
+
+    def run(parcels: pa.Table) -> pa.Table:
+        halves = [np.split(_from_planes(x), 2) for x in parcels.column("data").to_pylist()]
+        keys = np.concatenate([np.cumsum(gaps, dtype=np.uint64) for gaps, _ in halves])
+        sizes = [len(gaps) for gaps, _ in halves]
+        n = np.concatenate([n for _, n in halves]).astype(np.int64)
+        _, inverse = np.unique(keys, return_inverse=True)
+        shard = np.repeat(np.array(parcels.column("shard").to_pylist()), sizes)
+        need = np.repeat(np.array(parcels.column("need").to_pylist()), sizes)
+        distinct = int(inverse.max()) + 1
+        # Whole numbers below 2^53 add up exactly as doubles.
+        enough = np.bincount(inverse, weights=n, minlength=distinct) >= support
+        local = np.zeros(distinct, dtype=bool)
+        for s in range(shards):
+            mine = shard == s
+            sums = np.bincount(inverse[mine], weights=n[mine], minlength=distinct)
+            local[inverse[mine]] |= sums[inverse[mine]] >= need[mine]
+        chosen = (enough & local)[inverse]
+        ends = np.cumsum(sizes)
+        bits = [_pack(np.packbits(chosen[e - size : e]).tobytes()) for e, size in zip(ends.tolist(), sizes, strict=True)]
+        return pa.table({"block": parcels.column("block"), "range": parcels.column("range"), "bits": pa.array(bits, pa.binary())})
+
+    return run
+
+
+def _count(longest: int, ranges: int, passes: int, turn: int):
+    """mapInArrow function: exact counts of the candidates in a block, by their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, _ = _distinct(row, longest, passes, turn)
+                cuts, chosen = _cuts(keys, ranges), np.zeros(len(keys), dtype=bool)
+                for reply in row["replies"]:
+                    a, b = cuts[reply["range"]], cuts[reply["range"] + 1]
+                    chosen[a:b] = np.unpackbits(np.frombuffer(_unpack(reply["bits"]), dtype="u1"), count=b - a)
+                candidates = keys[chosen]
+                words, codes = _words_in(row["words"]), np.frombuffer(_unpack(row["codes"]), dtype=np.uint32)
+                for k, places, found in _phrases(row, longest):
+                    good = np.isin(found, candidates)
+                    if not good.any():
+                        continue
+                    phrases, n = _counted(codes, found[good], places[good], k, words)
+                    for i in range(0, len(n), 100_000):
+                        m = len(n[i : i + 100_000])
+                        yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * m), pa.array(phrases[i : i + m]), pa.array([k] * m, pa.int32()), pa.array(n[i : i + m], pa.int64())],
+                                                         names=["lang", "phrase", "k", "n"])
 
     return run
 
@@ -223,38 +284,26 @@ def _level(k: int, longest: int):
 # ---- SON --------------------------------------------------------------------
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): lang, phrase, k, f of all phrases of 1 to `longest` words found `support` times; lang, n words."""
-    spark, before, texts = docs.sparkSession, set(NAMED), ["block", "shard", "lang", "words", "codes"]
+    spark, before = docs.sparkSession, set(NAMED)
     made = written(blocks(docs, shards), "blocks")
-    old = [NAMED[-1]]
-    by_shard = made.groupBy("shard", "lang").agg(F.sum("n").alias("n_shard"))
     totals = written(made.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     # ceil(support * n_shard / n) in whole numbers.
     need = F.expr(f"cast((cast({support} as decimal(20,0)) * n_shard + n - 1) div n as long)")
-    local = by_shard.join(totals, "lang").groupBy("lang").agg(*[F.max(F.when(F.col("shard") == i, need)).alias(f"need_{i}") for i in range(shards)])
-    local = written(local, "local")
-    counts, stage = None, made.select(*texts)
-    for k in range(1, longest + 2):
-        level = written(stage.mapInArrow(_level(k, longest), LEVEL), f"level-{k}")
-        latest = NAMED[-1]
-        if k > 1:
-            part = written(level.where("kind = 'count'").select("lang", "phrase", F.lit(k - 1).alias("k"), "n"), f"counts-{k - 1}")
-            counts = part if counts is None else counts.unionByName(part)
-            drop(spark, old)
-            old = []
-        old.append(latest)
-        if k > longest:
-            break
-        mined = level.where("kind = 'mine'").select("block", "shard", "lang", "key", "n")
-        # The counts of all shards side by side, so that one shuffle serves the shards and the sum of them.
-        sums = mined.groupBy("lang", "key").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("shard") == i, F.col("n"))).alias(f"n_{i}") for i in range(shards)])
-        frequent = F.lit(False)
-        for i in range(shards):
-            frequent |= F.coalesce(F.col(f"n_{i}") >= F.col(f"need_{i}"), F.lit(False))
-        candidates = written(sums.where(F.col("n") >= support).join(local, "lang").where(frequent).select("lang", "key"), f"candidates-{k}")
-        held = mined.select("block", "lang", "key").join(candidates, ["lang", "key"], "left_semi").groupBy("block").agg(F.collect_list("key").alias("keys"))
-        stage = (made if k == 1 else level.where("kind = 'block'")).select(*texts).join(held, "block")
-    phrases = counts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
-    phrases = written(phrases, "phrases")
+    local = made.groupBy("shard", "lang").agg(F.sum("n").alias("n_shard")).join(totals, "lang").select("shard", "lang", need.alias("need"))
+    size = made.agg(F.sum("n"), F.count("*")).first()
+    wanted = max(1, (size[0] or 0) * longest // RANGE_PHRASES)
+    passes = -(-wanted // MOST_RANGES)
+    ranges = 1 << (-(-wanted // passes) - 1).bit_length()
+    # A row is a few MB and takes seconds, so as many tasks as blocks may share them.
+    stage = written(made.join(written(local, "local"), ["shard", "lang"]).repartition(max(1, size[1]), "block"), "needed")
+    counts = None
+    for turn in range(passes):
+        replies = written(stage.mapInArrow(_mine(longest, ranges, passes, turn), PARCELS).groupBy("range").applyInArrow(_union(shards, support), REPLIES), "replies")
+        held = replies.groupBy("block").agg(F.collect_list(F.struct("range", "bits")).alias("replies"))
+        part = written(stage.join(held, "block").mapInArrow(_count(longest, ranges, passes, turn), COUNTS).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= support), "counts")
+        counts = part if counts is None else counts.unionByName(part)
+    # A phrase has one key, so it is counted in one pass.
+    phrases = written(counts, "phrases")
     drop(spark, [x for x in NAMED if x not in before and not x.rsplit("/", 1)[1].startswith(("phrases-", "totals-"))])
     return phrases, totals
 
