@@ -202,10 +202,20 @@ class EtsConfig:
 
 @dataclass(frozen=True)
 class BoostConfig:
+    """Boosted trees of the pipeline residual model; the other two models have their own below."""
+
     trees: int = 250
     step: float = 0.05
     depth: int = 3
     seed: int = 42
+    l2: float = 0.0
+    least_weight: float = 0.0
+    row_share: float = 1.0
+    column_share: float = 1.0
+
+
+LAG_TREES = BoostConfig(trees=100, step=0.1)
+SPIKE_TREES = BoostConfig(trees=300, depth=4, l2=1.0, least_weight=1.0, row_share=0.9, column_share=0.9)
 
 
 @dataclass(frozen=True)

@@ -1,17 +1,21 @@
-"""Spike (burst) model: labels, features, pooled classifier and magnitude model, risk bands."""
+"""Spike (burst) model: labels, features, a classifier and a magnitude model per series, risk bands.
+
+Labels and imputed features are column expressions; every (fold, parameter) is a model of its series' group, and all of
+them are fitted by one call of the tree engine. Missing values that imputation leaves go to the trees as they are.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom import config as cfg
 from seriesloom.functions.lineage import cut_lineage
 from seriesloom.functions.numeric import floor_zero
-from seriesloom.operators.forecasters.boosting import FEATURES, LAG_FEATURES, assemble, regressor, usable
-from seriesloom.operators.metrics import pr_auc_pooled
+from seriesloom.operators.forecasters import trees
+from seriesloom.operators.forecasters.boosting import FEATURES
 from seriesloom.schema import SERIES, by_month, of_series
 
 
@@ -81,132 +85,150 @@ def spike_feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if "pipeline_" in c or c.startswith("snapshot_") or c in ("month_of_year", "quarter")]
 
 
-def _with_scale(df: DataFrame, train: Column) -> DataFrame:
-    """Adds the mean of the training rows, null without a positive one."""
-    mean = F.avg(F.when(train, F.col("Actuals"))).over(of_series())
-    return df.withColumn("scale", F.when(mean > 0, mean))
-
-
-def _over_scale(df: DataFrame, columns) -> DataFrame:
-    amounts = [c for c in columns if c.startswith("pipeline_") and c != "pipeline_missing_flag"] + LAG_FEATURES
-    return df.withColumns({c: F.col(c) / F.col("scale") for c in amounts if c in df.columns})
-
+R_BASE = "Insufficient history after baseline feature creation."
+SPIKE_ROWS = ("Product string, Division string, kind string, fold int, param double, Month date, Actuals double, baseline_pred double, spike_prob double, "
+              "spike_mag_pred double, final_forecast double, test_label int, train_spikes int, test_spikes int, spike_mae double, feature string, "
+              "classifier_importance double, regressor_importance double, reason string")
 
-class SpikeModel:
-    """Baseline trees, a class-weighted spike classifier and a magnitude model on the spikes."""
 
-    def __init__(self, train: DataFrame, columns, config: cfg.BoostConfig, base=None):
-        self.columns = usable(train, columns)
-        self.base = base or regressor(config, label="y_scaled", features="base_features").fit(
-            assemble(train.dropna(subset=FEATURES), FEATURES, "base_features")
-        )
-        rows = assemble(train.dropna(subset=self.columns), self.columns, "spike_features")
-        pos, n = rows.agg(F.coalesce(F.sum("spike_label"), F.lit(0)), F.count(F.lit(1))).first()
-        self.clf = self.reg = None
-        if 0 < pos < n:
-            weight = F.when(F.col("spike_label") == 1, float((n - pos) / pos)).otherwise(1.0)
-            self.clf = GBTClassifier(
-                featuresCol="spike_features", labelCol="spike_label", weightCol="w", maxIter=config.trees,
-                stepSize=config.step, maxDepth=config.depth, seed=config.seed,
-            ).fit(rows.withColumn("w", weight))
-            self.reg = regressor(config, label="mag_scaled", features="spike_features").fit(
-                rows.filter("spike_label = 1 and mag_scaled is not null")
-            )
-
-    def predict(self, rows: DataFrame) -> DataFrame:
-        """baseline + probability x max(magnitude, 0), in the units of the series."""
-        out = assemble(rows.dropna(subset=[*FEATURES, *self.columns]), FEATURES, "base_features")
-        out = self.base.transform(out).withColumnRenamed("prediction", "b")
-        if self.clf is None:
-            out = out.withColumn("spike_prob", F.lit(0.0)).withColumn("m", F.lit(0.0))
-        else:
-            out = assemble(out, self.columns, "spike_features")
-            out = self.clf.transform(out).withColumn("spike_prob", vector_to_array("probability")[1])
-            out = out.drop("prediction", "rawPrediction", "probability")
-            out = self.reg.transform(out).withColumn("m", F.greatest("prediction", F.lit(0.0))).drop("prediction")
-        s = F.col("scale")
-        return out.withColumn("baseline_pred", F.col("b") * s).withColumn("spike_mag_pred", F.col("m") * s).withColumn(
-            "final_forecast", F.col("baseline_pred") + F.col("spike_prob") * F.col("spike_mag_pred")
-        ).drop("b", "m", "base_features", "spike_features")
-
-    def importance(self, spark) -> DataFrame:
-        """One row per spike feature."""
-        clf = self.clf.featureImportances.toArray().tolist() if self.clf else [0.0] * len(self.columns)
-        reg = self.reg.featureImportances.toArray().tolist() if self.reg else [0.0] * len(self.columns)
-        return spark.createDataFrame(
-            list(zip(self.columns, clf, reg)), "feature string, classifier_importance double, regressor_importance double"
-        )
+def holdout_flag(df: DataFrame, rows: int) -> DataFrame:
+    back = F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.col("Month").desc()))
+    return df.withColumn("is_train", back > rows)
 
 
-def imputed_frame(features: DataFrame, train: Column) -> DataFrame:
-    """Imputed rows with the series scale, written once: planning more columns on top of them is slow."""
-    columns = [c for c in spike_feature_columns(features) if c not in ("month_of_year", "quarter", "pipeline_missing_flag")]
-    return cut_lineage(impute(_with_scale(features, train), columns, train).withColumn("in_train", train))
+def labelled_folds(rows: DataFrame, params, spike: cfg.SpikeConfig) -> DataFrame:
+    """Imputed features and, for each parameter, labels label_0, label_1 ... of every (series, fold).
 
+    `rows` has fold and in_train. The fold rides in the product key, so that medians and limits see their fold alone.
+    """
+    columns = [c for c in spike_feature_columns(rows) if c not in ("month_of_year", "quarter", "pipeline_missing_flag")]
+    keyed = rows.withColumn("Product", F.concat_ws("\u0001", F.col("fold").cast("string"), "Product"))
+    imputed = cut_lineage(impute(keyed, columns, F.col("in_train")))
+    out = imputed
+    for i, param in enumerate(params):
+        labelled = spike_labels(out, spike.method, param, spike.abs_floor)
+        out = labelled.withColumnRenamed("spike_label", f"label_{i}").drop("spike_limit", "spike_baseline", "residual")
+        if i + 1 < len(params):
+            out = out.drop("spike_magnitude")
+    return out.withColumn("Product", F.substring_index("Product", "\u0001", -1))
+
+
+def _average_precision(label: np.ndarray, score: np.ndarray) -> float:
+    """Area under the precision-recall steps; rows of equal score count together; NaN with one class only."""
+    if len(np.unique(label)) < 2:
+        return np.nan
+    order = np.argsort(-score, kind="stable")
+    label, score = label[order], score[order]
+    hits, ends = np.cumsum(label), np.flatnonzero(np.append(score[1:] != score[:-1], True))
+    recall = hits[ends] / hits[-1]
+    return float((np.diff(recall, prepend=0.0) * hits[ends] / (ends + 1)).sum())
+
+
+def _spike_models(columns: list[str], params: tuple, base_config: cfg.BoostConfig, config: cfg.BoostConfig):
+    """applyInPandas function: scored test rows, fold scores and importances of one series."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        series, rows = rows[SERIES].iloc[0].tolist(), rows.sort_values(["fold", "Month"])
+        own = [c for c in FEATURES if c != "y_lag12" or rows["y_lag12"].notna().any()]
+        rows = rows[rows[own].notna().all(axis=1) & rows["Actuals"].notna()]
+        parts = []
+        if len(rows):
+            y, fold, train = rows["Actuals"].to_numpy(dtype=float), rows["fold"].to_numpy(dtype=np.int64), rows["in_train"].to_numpy(dtype=bool)
+            x, base = rows[columns].to_numpy(dtype=float), rows[own].to_numpy(dtype=float)
+            varied = np.array([len(np.unique(x[~np.isnan(x[:, j]), j])) + np.isnan(x[:, j]).any() > 1 for j in range(x.shape[1])])
+            names, x = [c for c, v in zip(columns, varied, strict=True) if v], x[:, varied]
+            folds = int(fold.max()) + 1
+            lag = trees.fit(base[train], y[train], fold[train], folds, base_config).predict(base, fold)
+            magnitude = rows["spike_magnitude"].to_numpy(dtype=float)
+            label = np.stack([rows[f"label_{i}"].to_numpy(dtype=float) for i in range(len(params))], axis=1)
+            # A model for each (fold, parameter).
+            t = np.flatnonzero(train)
+            model = (fold[t][:, None] * len(params) + np.arange(len(params))).ravel()
+            many, hit = np.repeat(t, len(params)), label[t].ravel()
+            positive = np.bincount(model, weights=hit, minlength=folds * len(params))
+            size = np.bincount(model, minlength=folds * len(params))
+            weight = np.where(hit == 1, ((size - positive) / np.maximum(positive, 1))[model], 1.0)
+            classifier = trees.fit(x[many], hit, model, folds * len(params), config, weight, classify=True)
+            spikes = (hit == 1) & np.isfinite(magnitude[many])
+            sizes = trees.fit(x[many][spikes], magnitude[many][spikes], model[spikes], folds * len(params), config)
+            one_class = (positive == 0) | (positive == size)
+            test = np.flatnonzero(~train)
+            for i, param in enumerate(params):
+                of_all = fold * len(params) + i
+                prob = np.where(one_class[of_all], (positive > 0)[of_all].astype(float), trees.probability(classifier.predict(x, of_all)))
+                extra = np.maximum(sizes.predict(x, of_all), 0.0)
+                scored = rows.iloc[test][["fold", "Month", "Actuals"]].copy()
+                scored["kind"], scored["param"], scored["baseline_pred"] = "test", param, lag[test]
+                scored["spike_prob"], scored["spike_mag_pred"] = prob[test], extra[test]
+                scored["final_forecast"], scored["test_label"] = lag[test] + prob[test] * extra[test], label[test, i].astype(int)
+                parts.append(scored)
+                for f in np.unique(fold).tolist():
+                    of, own_train = fold == f, (fold == f) & train & (label[:, i] == 1) & np.isfinite(magnitude)
+                    parts.append(pd.DataFrame([{"kind": "fold", "fold": f, "param": param, "train_spikes": int(label[of & train, i].sum()), "test_spikes": int(label[of & ~train, i].sum()),
+                                                "final_forecast": float(np.abs(lag + prob * extra - y)[of & ~train].mean()) if (of & ~train).any() else np.nan,
+                                                "spike_prob": _average_precision(label[of & ~train, i], prob[of & ~train]) if (of & ~train).any() else np.nan,
+                                                "spike_mae": float(np.abs(extra - magnitude)[own_train].mean()) if own_train.any() else np.nan}]))
+                    m = f * len(params) + i
+                    shares = [g / g.sum() if g.sum() > 0 else g for g in (classifier.gain[m], sizes.gain[m])]
+                    parts.append(pd.DataFrame({"kind": "importance", "fold": f, "param": param, "feature": names, "classifier_importance": shares[0], "regressor_importance": shares[1]}))
+        known = set(rows["fold"].tolist()) if len(rows) else set()
+        parts.append(pd.DataFrame([{"kind": "summary", "reason": None if known else R_BASE}]))
+        return trees.result(parts, SPIKE_ROWS, series)
+
+    return run
+
+
+def spike_models(rows: DataFrame, params, spike: cfg.SpikeConfig = cfg.SpikeConfig(), base_config: cfg.BoostConfig = cfg.LAG_TREES, config: cfg.BoostConfig = cfg.SPIKE_TREES) -> DataFrame:
+    """Lag trees, spike classifier and magnitude trees of every (series, fold, parameter); `rows` has fold and in_train."""
+    columns = spike_feature_columns(rows)
+    frame = labelled_folds(rows, params, spike)
+    keep = [*SERIES, "Month", "Actuals", "fold", "in_train", "spike_magnitude", *dict.fromkeys([*FEATURES, *columns]), *[f"label_{i}" for i in range(len(params))]]
+    return cut_lineage(trees.by_series(frame.select(*keep)).applyInPandas(_spike_models(columns, tuple(float(p) for p in params), base_config, config), SPIKE_ROWS))
+
+
+def evaluate(features: DataFrame, param: float, spike: cfg.SpikeConfig = cfg.SpikeConfig(), base_config: cfg.BoostConfig = cfg.LAG_TREES, config: cfg.BoostConfig = cfg.SPIKE_TREES) -> DataFrame:
+    """Models of all rows but the last of every series, which are scored; kinds as in spike_models()."""
+    flagged = holdout_flag(features.filter("Actuals is not null"), spike.holdout)
+    return spike_models(flagged.withColumn("fold", F.lit(0)).withColumnRenamed("is_train", "in_train"), [param], spike, base_config, config)
 
-def training_frame(imputed: DataFrame, param: float, spike: cfg.SpikeConfig) -> DataFrame:
-    """Labelled and scaled rows; labels and magnitudes use earlier rows only."""
-    labelled = spike_labels(imputed, spike.method, param, spike.abs_floor).filter("scale is not null")
-    return _over_scale(labelled, spike_feature_columns(imputed)).withColumn(
-        "y_scaled", F.col("Actuals") / F.col("scale")
-    ).withColumn("mag_scaled", F.col("spike_magnitude") / F.col("scale"))
 
+def predictions(done: DataFrame) -> DataFrame:
+    """Scored rows; a series without any has one row with the reason."""
+    return done.filter("kind = 'test' or (kind = 'summary' and reason is not null)").select(
+        *SERIES, "Month", "Actuals", "baseline_pred", "spike_prob", "spike_mag_pred", "final_forecast", "reason")
 
-def holdout_flag(df: DataFrame, rows: int) -> DataFrame:
-    back = F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.col("Month").desc()))
-    return df.withColumn("is_train", back > rows)
 
+def importance(done: DataFrame) -> DataFrame:
+    """Share of each feature in the gain of each series' two models."""
+    return done.filter("kind = 'importance'").select(*SERIES, "feature", "classifier_importance", "regressor_importance")
 
-def evaluate(features: DataFrame, param: float, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config: cfg.BoostConfig = cfg.BoostConfig()):
-    """(model, holdout predictions) with the last rows of every series held out."""
-    flagged = holdout_flag(features.filter("Actuals is not null"), spike.holdout)
-    frame = cut_lineage(training_frame(imputed_frame(flagged, F.col("is_train")), param, spike))
-    model = SpikeModel(frame.filter("is_train"), spike_feature_columns(features), config)
-    return model, model.predict(frame.filter("not is_train"))
 
+def tune(features: DataFrame, spike: cfg.SpikeConfig = cfg.SpikeConfig(), base_config: cfg.BoostConfig = cfg.LAG_TREES, config: cfg.BoostConfig = cfg.SPIKE_TREES, params=None) -> DataFrame:
+    """Scores per (series, param, fold): MAE, PR-AUC, error of the magnitude on training spikes, spike counts.
 
-def tune(features: DataFrame, spike: cfg.SpikeConfig = cfg.SpikeConfig(), config: cfg.BoostConfig = cfg.BoostConfig(), params=None):
-    """Scores per (param, fold): MAE, PR-AUC and spike counts. Folds are row blocks counted back from
-    the holdout; a fold trains on all earlier rows of every series."""
+    Folds are row blocks counted back from the holdout; a fold trains on all earlier rows of the series.
+    """
     from seriesloom.operators.backtest import cv_folds
 
     params = params or (spike.k_values if spike.method == "hybrid" else spike.quantiles)
     train = holdout_flag(features.filter("Actuals is not null"), spike.holdout).filter("is_train").drop("is_train")
-    folded = cut_lineage(cv_folds(train, spike.fold_rows, spike.folds))
-    columns = spike_feature_columns(features)
-    out = None
-    for fold in range(1, spike.folds + 1):
-        is_train = F.coalesce(F.col("test_fold") < fold, F.lit(True)) & (F.col("n_folds") >= fold)
-        imputed = imputed_frame(folded.filter(is_train | (F.col("test_fold") == fold)), is_train)
-        base = None  # the baseline does not depend on the label, so a fold fits it once
-        for param in params:
-            frame = cut_lineage(training_frame(imputed, param, spike))
-            model = SpikeModel(frame.filter("in_train"), columns, config, base)
-            base = model.base
-            scored = cut_lineage(model.predict(frame.filter("not in_train")).select(
-                "spike_label", "spike_prob", "Actuals", "final_forecast"
-            ))
-            counts = frame.agg(
-                F.sum(F.when(F.col("in_train"), F.col("spike_label"))).alias("train_spike_count"),
-                F.sum(F.when(~F.col("in_train"), F.col("spike_label"))).alias("test_spike_count"),
-            )
-            auc = pr_auc_pooled(scored, "spike_label", "spike_prob").select("pr_auc")
-            row = scored.agg(F.avg(F.abs(F.col("final_forecast") - F.col("Actuals"))).alias("fold_mae")).select(
-                F.lit(float(param)).alias("param"), F.lit(fold).alias("fold"), "fold_mae",
-                auc.scalar().alias("pr_auc"),
-                counts.select("train_spike_count").scalar().alias("train_spike_count"),
-                counts.select("test_spike_count").scalar().alias("test_spike_count"),
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+    folded = cv_folds(train, spike.fold_rows, spike.folds)
+    tested = F.coalesce(F.col("test_fold"), F.lit(0))
+    each = folded.withColumn("fold", F.explode(F.sequence(F.lit(1), F.greatest("n_folds", F.lit(1))))).filter((F.col("n_folds") >= F.col("fold")) & (tested <= F.col("fold")))
+    rows = each.withColumn("in_train", tested < F.col("fold")).drop("test_fold", "n_folds")
+    done = spike_models(rows, params, spike, base_config, config)
+    return done.filter("kind = 'fold'").select(
+        *SERIES, "param", "fold", F.col("final_forecast").alias("fold_mae"), F.col("spike_prob").alias("pr_auc"), F.col("spike_mae").alias("fold_spike_mae"),
+        F.col("train_spikes").alias("train_spike_count"), F.col("test_spikes").alias("test_spike_count"))
 
 
 def tuned(scores: DataFrame) -> DataFrame:
-    """Mean scores per param, best first by MAE."""
-    return scores.groupBy("param").agg(
-        F.avg("fold_mae").alias("cv_mae"), F.avg("pr_auc").alias("cv_pr_auc"),
-        F.sum("train_spike_count").alias("train_spikes"), F.sum("test_spike_count").alias("test_spikes"),
-    ).withColumn("chosen", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("cv_mae", "param")) == 1)
+    """Mean scores per series and param; the least error is chosen, ties by the smaller param."""
+    known = F.when(~F.isnan("pr_auc"), F.col("pr_auc"))
+    means = scores.groupBy(*SERIES, "param").agg(
+        F.avg("fold_mae").alias("cv_mae"), F.avg(known).alias("cv_pr_auc"), F.avg(F.when(~F.isnan("fold_spike_mae"), F.col("fold_spike_mae"))).alias("cv_spike_mae"),
+        F.sum("train_spike_count").alias("train_spikes"), F.sum("test_spike_count").alias("test_spikes"), F.count("fold_mae").alias("n_folds"))
+    return means.withColumn("chosen", F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.round("cv_mae", 9), "param")) == 1)
 
 
 def risk_bands(rows: DataFrame, risk: str, forecast: str, base_mae: str, spike_mae: str) -> DataFrame:

@@ -17,7 +17,8 @@ from seriesloom.operators import prepare as P
 from seriesloom.operators import selection as S
 from seriesloom.operators.forecasters import arima, boosting, ets, sba, spike, trend
 from seriesloom.plans.evaluation import fact_of
-from seriesloom.plans.registry import query
+from seriesloom.plans import ctes as C
+from seriesloom.plans.registry import query, with_ctes
 from seriesloom.plans.snapshots import Inputs, _asof
 from seriesloom.schema import SERIES
 from seriesloom.sources import driver_tables as D
@@ -110,15 +111,42 @@ def trend_backtest(spark, sf):
     return per_series(fact, *trend.backtest(fact), "PROPHET")
 
 
+def ml_fact(spark, sf):
+    """Actuals with the signals that lag models may use."""
+    return D.full_fact(spark, sf).filter("Actuals is not null").select(*SERIES, "Month", "Actuals", "Bookings", "Open_Opportunities")
+
+
 @query("boosted_backtest")
 def boosted_backtest(spark, sf):
-    fact = fact_of(spark, sf)
+    fact = ml_fact(spark, sf)
     return per_series(fact, *boosting.backtest(fact), "ML_GBR")
 
 
+# What the job decides without a fit: usable rows, training rows, origins, the holdout's months and actuals, the reason.
+BOOSTED_FOLDS = """ml AS (SELECT Product, Division, Month, Actuals, Bookings, Open_Opportunities FROM full_fact WHERE Actuals IS NOT NULL),
+ml1 AS (SELECT *, lag(Actuals, 1) OVER o AS l1, lag(Actuals, 2) OVER o AS l2, lag(Actuals, 3) OVER o AS l3, lag(Actuals, 12) OVER o AS l12, lag(Bookings, 1) OVER o AS b1,
+  count(*) OVER (PARTITION BY Product, Division) AS n FROM ml WINDOW o AS (PARTITION BY Product, Division ORDER BY Month)),
+ml2 AS (SELECT *, row_number() OVER (PARTITION BY Product, Division ORDER BY Month DESC) AS back, count(*) OVER (PARTITION BY Product, Division) AS m FROM ml1
+  WHERE l1 IS NOT NULL AND l2 IS NOT NULL AND l3 IS NOT NULL AND (n < 24 OR l12 IS NOT NULL) AND Bookings IS NOT NULL AND b1 IS NOT NULL AND Open_Opportunities IS NOT NULL),
+ml3 AS (SELECT Product, Division, max(m) AS m, min(CASE WHEN back <= 12 THEN Month END) AS first_month, sum(CASE WHEN back <= 12 THEN Actuals END) AS actuals FROM ml2 GROUP BY ALL)"""
+
+
+@query("boosted_folds", with_ctes(C.FULL, BOOSTED_FOLDS, body="""
+  SELECT s.Product, s.Division, CASE WHEN m > 17 THEN m - 12 ELSE 0 END AS n_train, CASE WHEN m > 24 THEN m - 24 ELSE 0 END AS n_origins,
+    CASE WHEN m > 17 THEN 12 ELSE 0 END AS n_holdout, CASE WHEN m > 17 THEN first_month END AS first_month, CASE WHEN m > 17 THEN actuals END AS holdout_actuals,
+    CASE WHEN m IS NULL OR m <= 17 THEN 'Insufficient ML rows after dropping NaNs.' WHEN m <= 24 THEN 'Insufficient rows for ROCV.' ELSE '' END AS skip_reason
+  FROM (SELECT DISTINCT Product, Division FROM ml) s LEFT JOIN ml3 ON s.Product = ml3.Product AND s.Division = ml3.Division"""), "holdout_actuals")
+def boosted_folds(spark, sf):
+    """The rows, folds and reasons of the fitted job, read from its own results."""
+    holdout, rocv = boosting.backtest(ml_fact(spark, sf))
+    tests = holdout.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_holdout"), F.min("Date").alias("first_month"), F.sum("Actual").alias("holdout_actuals"))
+    return rocv.join(tests, SERIES, "left").select(
+        *SERIES, "n_train", "n_origins", F.coalesce("n_holdout", F.lit(0)).alias("n_holdout"), "first_month", "holdout_actuals", F.col("Skip_Reason").alias("skip_reason"))
+
+
 @query("boosted_forecast")
 def boosted_forecast(spark, sf):
-    return boosting.forecast(fact_of(spark, sf))
+    return boosting.forecast(ml_fact(spark, sf))
 
 
 @query("snapshot_baseline")
@@ -128,37 +156,47 @@ def snapshot_baseline(spark, sf):
     return boosting.snapshot_baseline(fact, months)
 
 
+def residual_run(spark, sf):
+    i = Inputs(spark, sf)
+    return boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary())
+
+
 @query("residual_model")
 def residual_model(spark, sf):
-    i = Inputs(spark, sf)
-    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary())
-    return tables["per_series"]
+    return residual_run(spark, sf)["per_series"]
 
 
 @query("residual_forecast")
 def residual_forecast(spark, sf):
-    i = Inputs(spark, sf)
-    tables = boosting.snapshot_model_run(i.fact, i.history(), i.modes, i.summary())
-    return tables["forecast"].select(*SERIES, "snapshot_month", "target_month", "baseline_pred", "adjustment_pred", "final_pred")
+    return residual_run(spark, sf)["forecast"]
+
+
+@query("residual_tables")
+def residual_tables(spark, sf):
+    """The other tables of the run in one column set: holdout, overall, importance, skipped."""
+    tables = residual_run(spark, sf)
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    holdout = tables["holdout"].select(F.lit("holdout").alias("table"), *SERIES, F.col("Date").cast("string").alias("item"), F.col("Actual").alias("first"), F.col("Forecast").alias("second"))
+    overall = tables["overall"].select(F.lit("overall").alias("table"), text.alias("Product"), text.alias("Division"), F.expr(
+        "stack(4, 'MAE', mean_MAE, 'RMSE', mean_RMSE, 'WAPE', mean_WAPE, 'ROCV_MAE', mean_ROCV_MAE) as (item, first)"), number.alias("second"))
+    importance = tables["importance"].select(F.lit("importance").alias("table"), *SERIES, F.col("feature").alias("item"), F.col("importance").alias("first"), number.alias("second"))
+    skipped = tables["skipped"].select(F.lit("skipped").alias("table"), *SERIES, F.col("Reason").alias("item"), F.col("history_rows").cast("double").alias("first"), F.col("summary_rows").cast("double").alias("second"))
+    return holdout.unionByName(overall).unionByName(importance).unionByName(skipped)
 
 
 @query("spike_model")
 def spike_model(spark, sf):
-    features = cut_lineage(_asof(spark, sf)[1])
-    return spike.evaluate(features, 1.5)[1].select(
-        *SERIES, "Month", "Actuals", "baseline_pred", "spike_prob", "spike_mag_pred", "final_forecast")
+    return spike.predictions(spike.evaluate(cut_lineage(_asof(spark, sf)[1]), 1.5))
 
 
 @query("spike_importance")
 def spike_importance(spark, sf):
-    features = cut_lineage(_asof(spark, sf)[1])
-    return spike.evaluate(features, 1.5)[0].importance(spark)
+    return spike.importance(spike.evaluate(cut_lineage(_asof(spark, sf)[1]), 1.5))
 
 
 @query("spike_tuning")
 def spike_tuning(spark, sf):
-    features = cut_lineage(_asof(spark, sf)[1])
-    return spike.tuned(spike.tune(features))
+    return spike.tuned(spike.tune(cut_lineage(_asof(spark, sf)[1])))
 
 
 def full_backtest(fact_with_signals):
@@ -170,7 +208,7 @@ def full_backtest(fact_with_signals):
         ets.backtest(fact),
         trend.backtest(fact),
         sba.sba_backtest(fact),
-        boosting.backtest(fact),
+        boosting.backtest(fact_with_signals),
     ]
     columns = [*SERIES, "Model", "Date", "Actual", "Forecast"]
     holdout = rocv = None

@@ -261,29 +261,12 @@ def test_changepoints_follow_the_training_rows(spark):
     assert max(abs(r["Actual"] - r["Forecast"]) for r in holdout.collect()) < 15
 
 
-@pytest.mark.parametrize("name", ["boosted_backtest", "boosted_forecast", "residual_model", "residual_forecast", "spike_model", "spike_importance", "spike_tuning", "full_backtest"])
-def test_registered_tree_models_have_the_configured_size(spark, monkeypatch, name):
-    from seriesloom.operators.forecasters import boosting, spike
-    from seriesloom.plans import models
-
-    class Called(Exception):
-        pass
-
-    def recorded(function):
-        def stop(*args, **kwargs):
-            bound = inspect.signature(function).bind(*args, **kwargs)
-            bound.apply_defaults()
-            raise Called(bound.arguments)
-
-        return stop
-
-    for module, function in ((boosting, "backtest"), (boosting, "forecast"), (boosting, "snapshot_model_run"), (spike, "evaluate"), (spike, "tune")):
-        monkeypatch.setattr(module, function, recorded(getattr(module, function)))
-    for module, function in ((models.arima, "backtest"), (models.ets, "backtest"), (models.trend, "backtest"), (models.sba, "sba_backtest")):
-        monkeypatch.setattr(module, function, lambda *args, **kwargs: (None, None))
-    monkeypatch.setattr(models, "sarimax_backtest", lambda fact: (None, None))
-    with pytest.raises(Called) as call:
-        load()[0][name](spark, "/root/testdata/sf0.001")
-    used = call.value.args[0]
-    assert used["config"] == cfg.BoostConfig() and used.get("spike", cfg.SpikeConfig()) == cfg.SpikeConfig()
-    assert used.get("folds", 12) == 12 and used.get("holdout_months", 12) == 12
+def test_tree_models_have_the_configured_size():
+    from seriesloom.operators.forecasters import boosting
+
+    assert (cfg.LAG_TREES.trees, cfg.LAG_TREES.step, cfg.LAG_TREES.depth) == (100, 0.1, 3)
+    assert (cfg.BoostConfig().trees, cfg.BoostConfig().step, cfg.BoostConfig().depth) == (250, 0.05, 3)
+    assert (cfg.SPIKE_TREES.trees, cfg.SPIKE_TREES.step, cfg.SPIKE_TREES.depth) == (300, 0.05, 4)
+    for function, name, want in ((boosting.backtest, "config", cfg.LAG_TREES), (boosting.snapshot_model_run, "config", cfg.BoostConfig()), (boosting.snapshot_model_run, "holdout_months", 12),
+                                 (spike.evaluate, "config", cfg.SPIKE_TREES), (spike.tune, "config", cfg.SPIKE_TREES), (spike.tune, "spike", cfg.SpikeConfig())):
+        assert inspect.signature(function).parameters[name].default == want
