@@ -10,7 +10,7 @@ language in one task's rows as numbers into the block's own word list. Blocks ar
    reaches its part in one shard at least, so none is missed. The shards' sums stand side by side by then, and phrases
    that stay below the support together go at once.
 3. Every block counts all candidates that it holds, whichever shard they come from, and these counts, keyed by the
-   words themselves, are summed over all blocks.
+   words themselves, are packed by the same ranges and summed over all blocks.
 
 A phrase travels in step 1 as 48 bits of a hash and its count, sorted and packed by ranges of the hash, and a block gets
 back one bit for each of its phrases. Equal hashes of different phrases could only add a candidate, since step 3 compares
@@ -54,7 +54,8 @@ SALTS = 64
 BLOCKS = "block long, shard int, lang string, words binary, codes binary, n long"
 PARCELS = "range int, block long, shard int, need long, data binary"
 REPLIES = "block long, range int, bits binary"
-COUNTS = "lang string, phrase string, k int, n long"
+COUNTED = "range int, lang string, data binary"
+COUNTS = "lang string, phrase string, k int, f long"
 BREAK = np.uint32(0)
 STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -68,11 +69,11 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _words_out(words: list[str]) -> bytes:
+def _words_out(words: list) -> bytes:
     return _pack(json.dumps(words, ensure_ascii=False).encode("utf-8", "surrogatepass"))
 
 
-def _words_in(data: bytes) -> list[str]:
+def _words_in(data: bytes) -> list:
     return json.loads(_unpack(data).decode("utf-8", "surrogatepass"))
 
 
@@ -149,9 +150,9 @@ def _hashes(codes: np.ndarray, of_word: np.ndarray, k: int) -> tuple[np.ndarray,
     return mix(out), whole
 
 
-def _counted(codes: np.ndarray, keys: np.ndarray, at: np.ndarray, k: int, words: list[str]) -> tuple[list[str], list[int]]:
-    """Phrases at the places `at`, whose keys are given, with their counts; places of equal hash but other words are counted one by one."""
-    _, first, inverse, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+def _counted(codes: np.ndarray, keys: np.ndarray, at: np.ndarray, k: int, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(phrases, counts, keys) of the phrases at the places `at`; places of equal key but other words are counted one by one."""
+    distinct, first, inverse, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
     model = at[first]
     other = np.zeros(len(at), dtype=bool)
     for j in range(k):
@@ -162,9 +163,8 @@ def _counted(codes: np.ndarray, keys: np.ndarray, at: np.ndarray, k: int, words:
 
     if other.any():
         n = n - np.bincount(inverse[other], minlength=len(n))
-    found = Counter(text(i) for i in at[other].tolist())
-    phrases = [text(i) for i in model.tolist()]
-    return [*phrases, *found], [*n.tolist(), *found.values()]
+    found = Counter((text(i), key) for i, key in zip(at[other].tolist(), keys[other].tolist(), strict=True))
+    return [*map(text, model.tolist()), *(p for p, _ in found)], np.append(n, list(found.values())).astype(np.int64), np.append(distinct, np.array([key for _, key in found], dtype=np.uint64))
 
 
 def _phrases(row: dict, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -268,15 +268,39 @@ def _count(longest: int, ranges: int, passes: int, turn: int):
                     chosen[a:b] = np.unpackbits(np.frombuffer(_unpack(reply["bits"]), dtype="u1"), count=b - a)
                 candidates = keys[chosen]
                 words, codes = _words_in(row["words"]), np.frombuffer(_unpack(row["codes"]), dtype=np.uint32)
+                phrases, n, of, ks = [], [], [], []
                 for k, places, found in _phrases(row, longest):
                     good = np.isin(found, candidates)
-                    if not good.any():
-                        continue
-                    phrases, n = _counted(codes, found[good], places[good], k, words)
-                    for i in range(0, len(n), 100_000):
-                        m = len(n[i : i + 100_000])
-                        yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * m), pa.array(phrases[i : i + m]), pa.array([k] * m, pa.int32()), pa.array(n[i : i + m], pa.int64())],
-                                                         names=["lang", "phrase", "k", "n"])
+                    if good.any():
+                        p, m, key = _counted(codes, found[good], places[good], k, words)
+                        phrases += p
+                        n.append(m)
+                        of.append(key)
+                        ks.append(np.full(len(m), k))
+                if not phrases:
+                    continue
+                of = np.concatenate(of)
+                order = np.argsort(of, kind="stable")
+                n, ks, cuts = np.concatenate(n)[order].tolist(), np.concatenate(ks)[order].tolist(), _cuts(of[order], ranges)
+                phrases = [phrases[i] for i in order.tolist()]
+                full = np.flatnonzero(np.diff(cuts))
+                data = [_words_out([phrases[cuts[r] : cuts[r + 1]], ks[cuts[r] : cuts[r + 1]], n[cuts[r] : cuts[r + 1]]]) for r in full.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([row["lang"]] * len(full), pa.string()), pa.array(data, pa.binary())], names=["range", "lang", "data"])
+
+    return run
+
+
+def _sum(support: int):
+    """applyInArrow function: the phrases of a range that reach the support, with their counts over all blocks."""
+
+    def run(parcels: pa.Table) -> pa.Table:
+        sums: Counter = Counter()
+        for lang, data in zip(parcels.column("lang").to_pylist(), parcels.column("data").to_pylist(), strict=True):
+            for phrase, k, n in zip(*_words_in(data), strict=True):
+                sums[lang, phrase, k] += n
+        kept = [(*key, f) for key, f in sums.items() if f >= support]
+        columns = zip(*kept, strict=True) if kept else ([], [], [], [])
+        return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.string(), pa.int32(), pa.int64()], strict=True)], names=["lang", "phrase", "k", "f"])
 
     return run
 
@@ -300,7 +324,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     for turn in range(passes):
         replies = written(stage.mapInArrow(_mine(longest, ranges, passes, turn), PARCELS).groupBy("range").applyInArrow(_union(shards, support), REPLIES), "replies")
         held = replies.groupBy("block").agg(F.collect_list(F.struct("range", "bits")).alias("replies"))
-        part = written(stage.join(held, "block").mapInArrow(_count(longest, ranges, passes, turn), COUNTS).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= support), "counts")
+        part = written(stage.join(held, "block").mapInArrow(_count(longest, ranges, passes, turn), COUNTED).groupBy("range").applyInArrow(_sum(support), COUNTS), "counts")
         counts = part if counts is None else counts.unionByName(part)
     # A phrase has one key, so it is counted in one pass.
     phrases = written(counts, "phrases")
