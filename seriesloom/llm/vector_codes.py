@@ -80,7 +80,7 @@ def _lengths(values: list[bytes]) -> bytes:
 def _parts(data: bytes) -> list[bytes]:
     n = int(np.frombuffer(data, dtype="<i8", count=1)[0])
     ends = np.cumsum(np.frombuffer(data, dtype="<i8", count=n, offset=8)) + 8 * (n + 1)
-    return [data[a:b] for a, b in zip([8 * (n + 1), *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    return [data[a:b] for a, b in zip([8 * (n + 1), *ends.tolist()], ends.tolist(), strict=False)]
 
 
 def _block(dims: int, ids: pa.Array, labels: pa.Array, vectors: np.ndarray) -> pa.RecordBatch:
@@ -121,7 +121,7 @@ class Block:
         self.dims, self.n = row["dims"], row["n"]
         unpack = zstandard.ZstdDecompressor().decompress
         self.dictionaries = [_numbers_in(x) for x in _parts(unpack(row["dictionaries"]))]
-        self.codes = np.frombuffer(unpack(row["codes"]), dtype="<u2").reshape(self.dims, self.n)
+        self.codes = np.frombuffer(unpack(row["codes"]), dtype="<u2").reshape(self.dims, self.n) if self.dims else np.zeros((0, self.n), dtype="<u2")
 
     def distances(self, books: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         """(part, squared distance of each vector's part to each entry): tables of differences, gathered and added."""
