@@ -1,6 +1,6 @@
 """Queries: the model jobs. Their fits have no SQL twin; tests hold their invariants.
 
-Trees, folds and holdouts are those of the configuration.
+Trees, folds and holdouts are those of the configuration; what a job decides without a fit has a twin (boosted_folds).
 """
 
 from __future__ import annotations
@@ -213,7 +213,8 @@ def full_backtest(fact_with_signals):
     columns = [*SERIES, "Model", "Date", "Actual", "Forecast"]
     holdout = rocv = None
     for h, r in parts:
-        h, r = h.select(*columns), r.select(*SERIES, "Model", "ROCV_MAE")
+        # Each forecaster's plan is wide; planned together they would take minutes before the first task.
+        h, r = cut_lineage(h.select(*columns)), cut_lineage(r.select(*SERIES, "Model", "ROCV_MAE"))
         holdout = h if holdout is None else holdout.unionByName(h)
         rocv = r if rocv is None else rocv.unionByName(r)
     holdout = cut_lineage(holdout)
@@ -223,7 +224,7 @@ def full_backtest(fact_with_signals):
 
 @query("full_backtest")
 def full_backtest_selection(spark, sf):
-    """All forecasters back-tested, blended, ranked by the selection rule: the whole second script in one plan."""
+    """All forecasters back-tested, blended and ranked by the selection rule; orders are fixed and gates not applied."""
     fact = cut_lineage(D.full_fact(spark, sf).filter("Actuals is not null"))
     metrics, holdout = full_backtest(fact)
     return S.select_model(cut_lineage(metrics), cut_lineage(holdout)).select(
