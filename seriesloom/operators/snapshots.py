@@ -97,24 +97,34 @@ def _attach_series(cells: DataFrame, matches: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"r.{c}") for c in SERIES], *keep)
 
 
-def line_cells(cleaned: DataFrame) -> DataFrame:
-    """Sums per (line key, file, snapshot, target): all the history needs of the lines."""
-    return cleaned.groupBy(*LINE_KEY, "source_file", "snapshot_month", "target_month").agg(
+MEASURED = ["n1", "n2", "s1", "s2", "w1", "w2", "fq", "fr", "swr"]
+
+
+def opportunity_rows(cleaned: DataFrame) -> DataFrame:
+    """Counts and sums per (line key, file, opportunity, snapshot, target): all that is ever read of the lines."""
+    return cleaned.groupBy(*LINE_KEY, "source_file", "opp_key", "snapshot_month", "target_month").agg(
+        F.count(F.lit(1)).alias("n"),
         F.count("q1").alias("n1"), F.count("q2").alias("n2"), F.sum("q1").alias("s1"), F.sum("q2").alias("s2"),
         F.sum(F.col("q1") * F.col("prob")).alias("w1"), F.sum(F.col("q2") * F.col("prob")).alias("w2"),
         F.sum("fq").alias("fq"), F.sum("fr").alias("fr"), F.sum("swr").alias("swr"),
     )
 
 
-def history_cells(cells: DataFrame, matches: DataFrame) -> DataFrame:
+def series_rows(lines: DataFrame, series: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Opportunity rows with the series they belong to. The lines are read once; a row may belong to several series."""
+    rows = cut_lineage(opportunity_rows(clean_lines(lines)))
+    return _attach_series(rows, cut_lineage(match_lines(rows, series_aliases(series, aliases))))
+
+
+def history_cells(rows: DataFrame) -> DataFrame:
     """Five summed measures per (series, snapshot, target).
 
-    The series is attached to the summed cells, so a hot product meets the join already collapsed.
-    The quantity column is chosen per file and series: the first one with any value.
+    The quantity column is chosen per file and series: the first one with any value. Sums come first, so that what is
+    moved to one place for a series has at most a row for each of its files, snapshots and targets.
     """
-    per_file = _attach_series(cells, matches).groupBy(*SERIES, "source_file", "snapshot_month", "target_month").agg(
-        *[F.sum(c).alias(c) for c in ("n1", "n2", "s1", "s2", "w1", "w2", "fq", "fr", "swr")]
-    )
+    per_file = rows.groupBy(*SERIES, "source_file", "snapshot_month", "target_month").agg(
+        *[F.sum(c).alias(c) for c in MEASURED]
+    ).repartition(*SERIES)
     file_w = Window.partitionBy(*SERIES, "source_file")
     use1 = (F.max("n1").over(file_w) > 0) | (F.max("n2").over(file_w) == 0)
     zero = F.lit(0.0)
@@ -129,42 +139,36 @@ def history_cells(cells: DataFrame, matches: DataFrame) -> DataFrame:
     return picked.groupBy(*CELL).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in cfg.CELL_MEASURES])
 
 
-def slippage(cleaned: DataFrame, matches: DataFrame) -> DataFrame:
+def slippage(rows: DataFrame) -> DataFrame:
     """Median month shift of the target of the same opportunity, per (series, snapshot).
 
-    Rows of an opportunity are ordered by snapshot, then target. They are first reduced to
-    (opportunity, snapshot, target, count): the first row of a group shifts from the group
-    before it, its other rows shift by 0. An opportunity with any share of all lines is thus a
-    short ordered list, and the median runs over (shift, count) pairs.
+    Lines of an opportunity are ordered by snapshot, then target. An opportunity with any share of all lines is a short
+    list of (snapshot, target, count): a list entry shifts once from the entry before it, and its other lines by 0. Where
+    several files or line keys give the same snapshot and target, the later entries shift by 0 as well, so they need not
+    be summed first. The median runs over (shift, count) pairs.
     """
-    rows = cleaned.filter("snapshot_month is not null").groupBy(
-        *LINE_KEY, "opp_key", "snapshot_month", "target_month"
-    ).agg(F.count(F.lit(1)).alias("n"))
-    rows = _attach_series(rows, matches).groupBy(*SERIES, "opp_key", "snapshot_month", "target_month").agg(
-        F.sum("n").alias("n")
-    )
-    w = Window.partitionBy(*SERIES, "opp_key").orderBy("snapshot_month", "target_month")
-    shift = dates.month_diff(F.col("target_month"), F.lag("target_month").over(w))
-    entries = F.array(
-        F.struct(F.col("shift").alias("slip"), F.lit(1).cast("long").alias("k")),
-        F.struct(F.lit(0).alias("slip"), (F.col("n") - 1).alias("k")),
+    entry = F.struct("snapshot_month", "target_month", "n")
+    lists = rows.filter("snapshot_month is not null").groupBy(*SERIES, "opp_key").agg(
+        F.array_sort(F.collect_list(entry)).alias("seen")
     )
-    shifts = rows.withColumn("shift", shift).select(*SERIES, "snapshot_month", F.explode(entries).alias("e")).select(
-        *SERIES, "snapshot_month", "e.*"
-    ).filter("slip is not null and k > 0")
-    counted = shifts.groupBy(*SERIES, "snapshot_month", "slip").agg(F.sum("k").alias("k"))
-    return counted.groupBy(*SERIES, "snapshot_month").agg(
+
+    def shifts(now: Column, at: Column) -> Column:
+        before = F.get(F.col("seen"), at - 1)["target_month"]
+        moved = F.struct(now["snapshot_month"].alias("snapshot_month"),
+                         dates.month_diff(now["target_month"], before).alias("slip"), F.lit(1).cast("long").alias("k"))
+        stayed = F.struct(now["snapshot_month"].alias("snapshot_month"), F.lit(0).alias("slip"), (now["n"] - 1).alias("k"))
+        return F.array(moved, stayed)
+
+    each = lists.select(*SERIES, F.explode(F.flatten(F.transform("seen", shifts))).alias("e")).select(*SERIES, "e.*")
+    return each.filter("slip is not null and k > 0").groupBy(*SERIES, "snapshot_month").agg(
         F.percentile("slip", 0.5, F.col("k")).alias("slippage_months"), F.sum("k").alias("n_shifts")
     )
 
 
 def load_history(lines: DataFrame, series: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Snapshot history of all series. The lines are read twice: once for the sums, once for the shifts."""
-    cleaned = clean_lines(lines)
-    cells = cut_lineage(line_cells(cleaned))
-    matches = cut_lineage(match_lines(cells, series_aliases(series, aliases)))
-    slip = slippage(cleaned, matches).drop("n_shifts")
-    return history_cells(cells, matches).join(slip, [*SERIES, "snapshot_month"], "left")
+    """Snapshot history of all series, from one pass over the lines."""
+    rows = series_rows(lines, series, aliases)
+    return history_cells(rows).join(slippage(rows).drop("n_shifts"), [*SERIES, "snapshot_month"], "left")
 
 
 # ---- snapshot features ---------------------------------------------------
@@ -228,25 +232,57 @@ def anchor_lags(fact: DataFrame, anchors: DataFrame) -> DataFrame:
     return rows.withColumns(cols).filter("is_anchor").select(*SERIES, F.col("Month").alias("anchor"), *cols)
 
 
-def _features(pairs: DataFrame, fact, primary, summary, from_snapshot: bool) -> DataFrame:
-    """Feature columns for given (series, snapshot, target, anchor, mode) rows."""
+def asked_cells(rows: DataFrame, asked: Column, from_snapshot: bool) -> DataFrame:
+    """Values of the (snapshot, target) cells that `asked`, an array of months, names for each snapshot of a series.
+
+    All rows of a series are in one place, at most one for each snapshot and target. Sums per snapshot are windows there.
+    Every row then gives its values to its own cell, to the same target one snapshot later and to the target shifted by
+    the slippage; the first row of a snapshot also gives its sums to the cells asked for. One grouping of these parts, in
+    the same place, takes the part of three joins.
+    """
+    snap = Window.partitionBy(*SERIES, "snapshot_month")
     measures = [*cfg.CELL_MEASURES, "pipeline_primary", "pipeline_stage_weighted_primary"]
-    here = primary.select(*CELL, *measures)
-    before = primary.select(
-        *SERIES, F.add_months("snapshot_month", 1).alias("snapshot_month"), "target_month",
-        F.col("pipeline_primary").alias("prior_pipeline_primary"),
-    )
-    out = (
-        pairs.join(here, CELL, "left")
-        .join(before, CELL, "left")
-        .join(slip_adjusted(primary, from_snapshot), CELL, "left")
-        .join(snapshot_metrics(primary, from_snapshot), [*SERIES, "snapshot_month"], "left")
-        .join(anchor_lags(fact, pairs.select(*SERIES, "anchor")), [*SERIES, "anchor"], "left")
-    )
-    zeros = [*measures, "prior_pipeline_primary", "pipeline_slip_adjusted_primary"]
-    out = out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in zeros})
+    eligible = F.col("target_month") >= F.col("snapshot_month") if from_snapshot else F.lit(True)
+    ahead = dates.month_diff("target_month", "snapshot_month")
+    p, sw, slip = F.col("pipeline_primary"), F.col("pipeline_stage_weighted_primary"), F.col("slip")
+    sums = {"slippage_months": F.max(F.when(eligible, slip)).over(snap), "first_target": F.min("target_month").over(snap)}
+    for k in (1, 2, 3):
+        for name, value, months in (("", p, ahead), ("stage_weighted_", sw, ahead), ("slip_adjusted_", p, ahead + slip)):
+            due = F.sum(F.when(eligible, F.when(months <= k, value).otherwise(0.0)))
+            sums[f"pipeline_{name}due_{k}m"] = due.over(snap)
+    rows = rows.withColumn("slip", F.coalesce(F.bround("slippage_months").cast("int"), F.lit(0))).withColumns(sums)
+    per_snapshot = [x for x in sums if x != "first_target"]
+
+    def part(snapshot: Column, target: Column, given: dict[str, Column]) -> Column:
+        kinds = {x: "double" for x in [*measures, "prior_pipeline_primary", "pipeline_slip_adjusted_primary", *per_snapshot]}
+        kinds |= {"slippage_months": "int", "is_asked": "boolean"}
+        values = [given.get(x, F.lit(None)).cast(kind).alias(x) for x, kind in kinds.items()]
+        return F.struct(snapshot.alias("snapshot_month"), target.alias("target_month"), *values)
+
+    at, target = F.col("snapshot_month"), F.col("target_month")
+    here = part(at, target, {x: F.col(x) for x in measures})
+    later = part(F.add_months(at, 1), target, {"prior_pipeline_primary": p})
+    shifted = part(at, F.add_months(target, slip), {"pipeline_slip_adjusted_primary": F.when(eligible, p)})
+    seen = {"is_asked": F.lit(True)} | {x: F.col(x) for x in per_snapshot}
+    wanted = F.when(target == F.col("first_target"), F.transform(asked, lambda month: part(at, month, seen)))
+    parts = F.concat(F.array(here, later, shifted), F.coalesce(wanted, F.array()))
+    each = rows.select(*SERIES, "mode", F.explode(parts).alias("e")).select(*SERIES, "mode", "e.*")
+    zero = F.lit(0.0)
+    return each.groupBy(*SERIES, "mode", "snapshot_month", "target_month").agg(
+        *[F.coalesce(F.max(x), zero).alias(x) for x in [*measures, "prior_pipeline_primary"]],
+        F.coalesce(F.sum("pipeline_slip_adjusted_primary"), zero).alias("pipeline_slip_adjusted_primary"),
+        *[F.max(x).alias(x) for x in per_snapshot], F.max("is_asked").alias("is_asked"),
+    ).filter("is_asked").drop("is_asked")
+
+
+def _by_series(primary: DataFrame) -> DataFrame:
+    return primary.filter("snapshot_month is not null").repartition(*SERIES)
+
+
+def _features(cells: DataFrame, summary) -> DataFrame:
+    """Feature columns derived from the values of asked cells and the lags at their anchors."""
     delta = F.col("pipeline_primary") - F.col("prior_pipeline_primary")
-    out = out.withColumns(
+    out = cells.withColumns(
         {
             "months_ahead": dates.month_diff("target_month", "snapshot_month"),
             "target_month_num": F.month("target_month"),
@@ -274,25 +310,27 @@ def _features(pairs: DataFrame, fact, primary, summary, from_snapshot: bool) ->
         out = out.withColumn("summary_primary", main).withColumn(
             "summary_primary_coverage", numeric.ratio(F.col("summary_primary"), F.col("roll_mean_12"))
         )
-    return out.drop("anchor")
+    return out
 
 
 def feature_frame(fact, history, modes, summary=None, horizon: int = 12, from_snapshot: bool = True) -> DataFrame:
     """Training features per (series, snapshot, target): targets 0..horizon months ahead with a known actual.
 
-    The (snapshot, target) pairs come from exploding a short range per snapshot and an equi-join
-    on the month, not from a range join.
+    The targets of a snapshot are listed and met with the fact by an equi-join on the month, not by a range join.
     """
     primary = with_primary(history, modes)
-    snaps = primary.filter("snapshot_month is not null").select(*SERIES, "snapshot_month", "mode").distinct()
-    steps = snaps.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(horizon)))).select(
-        *SERIES, "mode", "snapshot_month", F.add_months("snapshot_month", F.col("h")).alias("target_month")
-    )
+    targets = F.transform(F.sequence(F.lit(0), F.lit(horizon)), lambda h: F.add_months("snapshot_month", h))
     known = fact.filter("Actuals is not null").select(
         *SERIES, F.col("Month").alias("target_month"), F.col("Actuals").alias("actuals")
     )
-    pairs = steps.join(known, [*SERIES, "target_month"]).withColumn("anchor", F.col("snapshot_month"))
-    return _features(pairs, fact, primary, summary, from_snapshot)
+    anchors = history.filter("snapshot_month is not null").select(*SERIES, F.col("snapshot_month").alias("anchor"))
+    lags = anchor_lags(fact, anchors).withColumnRenamed("anchor", "snapshot_month")
+    cells = (
+        asked_cells(_by_series(primary), targets, from_snapshot)
+        .join(known, [*SERIES, "target_month"])
+        .join(lags, [*SERIES, "snapshot_month"], "left")
+    )
+    return _features(cells, summary)
 
 
 def latest_snapshots(history: DataFrame) -> DataFrame:
@@ -307,18 +345,17 @@ def future_frame(fact, history, modes, summary=None, horizon: int = 12) -> DataF
     Lags are anchored at the earlier of snapshot - 1 and the last known month; targets before the
     snapshot are kept.
     """
-    from seriesloom.operators.backtest import future_months
-
-    primary = with_primary(history, modes)
-    newest = primary.groupBy(*SERIES, "mode").agg(F.max("snapshot_month").alias("snapshot_month"))
     last = fact.filter("Actuals is not null").groupBy(*SERIES).agg(F.max("Month").alias("last_month"))
-    pairs = (
-        future_months(fact, horizon).select(*SERIES, F.col("Month").alias("target_month"))
-        .join(newest, SERIES).join(last, SERIES)
-        .withColumn("anchor", F.least("snapshot_month", F.add_months("last_month", 1)))
-        .drop("last_month")
-    )
-    return _features(pairs, fact, primary, summary, from_snapshot=False)
+    anchor = F.least(F.col("snapshot_month"), F.add_months("last_month", 1))
+    rows = _by_series(with_primary(history, modes)).join(last, SERIES)
+    rows = rows.withColumn("newest", F.max("snapshot_month").over(Window.partitionBy(*SERIES)))
+    months = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda h: F.add_months("last_month", h))
+    asked = F.when(F.col("snapshot_month") == F.col("newest"), months)
+    newest = history.groupBy(*SERIES).agg(F.max("snapshot_month").alias("snapshot_month")).join(last, SERIES)
+    anchors = newest.filter("snapshot_month is not null").select(*SERIES, anchor.alias("anchor"))
+    cells = asked_cells(rows, asked, from_snapshot=False)
+    # A series has one newest snapshot, hence one anchor.
+    return _features(cells.join(anchor_lags(fact, anchors).drop("anchor"), SERIES, "left"), summary)
 
 
 def snapshot_coverage(series: DataFrame, history: DataFrame, summary: DataFrame) -> DataFrame:

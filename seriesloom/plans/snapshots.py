@@ -144,7 +144,7 @@ def snapshot_history(spark, sf):
 @query("slippage", with_ctes(HIST, body="SELECT * FROM slips"), "slippage_months")
 def slippage(spark, sf):
     i = Inputs(spark, sf)
-    return S.slippage(i.cleaned, i.matches())
+    return S.slippage(S.series_rows(D.snapshot_lines(spark, sf), i.series, i.aliases))
 
 
 @query("due_windows", with_ctes(PRIM, body="SELECT * FROM due"), " ".join(DUE))
