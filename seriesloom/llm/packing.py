@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import chunks, id_text, table
 
 CAPACITY, END_ID = 2048, 1
+#: The vocabulary's only special token (fixed value); its string in a text gives its id, as in the tokenizers library.
+END_TEXT = "<|endoftext|>"
 #: Tokens of a block; a longer document is a block by itself.
 BLOCK_TOKENS = 2_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -108,13 +111,13 @@ _ENCODINGS: dict[str, object] = {}
 
 
 def rank_encoding(ranks: str):
-    """A tiktoken encoding over a rank file, one for each worker process."""
+    """A tiktoken encoding over a rank file, one for each worker process; the id after the last rank ends texts."""
     if ranks not in _ENCODINGS:
         import tiktoken
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _ENCODINGS[ranks] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        _ENCODINGS[ranks] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={END_TEXT: len(table)})
     return _ENCODINGS[ranks]
 
 
@@ -125,7 +128,7 @@ def pack_documents(docs: DataFrame, ranks: str, capacity: int = CAPACITY, end_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = rank_encoding(ranks).encode_ordinary
+        encode = partial(rank_encoding(ranks).encode, allowed_special={END_TEXT}, disallowed_special=())
         base, ids, arrays, held = TaskContext.get().partitionId() << 36, [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:

@@ -43,6 +43,8 @@ MANIFEST = "part int, file string, n_docs long, n_ids long, n_bytes long, first_
 class WordEncoder:
     """Encodes white-space separated words with the tokenizers library and remembers the ids of each.
 
+    The library's own settings hold: a special token's string in a text gives that token's id.
+
     The vocabulary's normaliser and splitter never look across white space, so the ids of a text are those of its
     words in a row; tests compare with encoding whole texts.
     """
@@ -52,7 +54,6 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[str, bytes] = {}
 
@@ -80,8 +81,12 @@ class WordEncoder:
             self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype=kind).tobytes()
 
     def learn_all(self, new: set[str]) -> None:
-        """A letter followed by one full stop or comma splits there, so such a word is learnt without it."""
-        ends = {w for w in new if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+        """A letter followed by one full stop or comma splits there, so such a word is learnt without it.
+
+        That is asked of the lower-cased letter, since a dotted capital I ends in a mark, which the comma then joins; and
+        only below U+0530, where no version of Unicode disagrees on what a letter is.
+        """
+        ends = {w for w in new if len(w) > 1 and w[-1] in ".," and w[-2] < "\u0530" and w[-2].lower().isalpha()}
         stems = (new - ends) | {w[:-1] for w in ends} | {".", ","} if ends else new
         self.learn([w for w in stems if w not in self.known])
         known = self.known

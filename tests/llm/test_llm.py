@@ -38,7 +38,6 @@ def test_token_files(spark, docs, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     path = common.scratch(spark, "t")
     manifest = token_files.write_token_files(docs, P.path("word_bpe_49k.json"), path)
     rows = {r.doc_id: r for r in token_files.read_token_files(manifest).collect()}
@@ -65,7 +64,6 @@ def test_token_files_odd(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     for data, n in ((odd(spark), len(ODD)), (spark.createDataFrame([], EMPTY), 0)):
         manifest = token_files.write_token_files(data, P.path("word_bpe_49k.json"), common.scratch(spark, "t"))
         rows = token_files.read_token_files(manifest).collect()
@@ -75,11 +73,40 @@ def test_token_files_odd(spark):
             assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens) for r in rows) == want
 
 
+def _odd_texts(n: int, seed: int) -> list[str]:
+    """Texts of letters, marks, signs and spaces from all over Unicode, with special strings and stops after letters."""
+    rng = np.random.default_rng(seed)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", ",", ".", ", ", ". ", " ", "\n", "0", "İ", "I\u0307", "ß", "e\u0301", "'s", "it's", "ALİ, ", "Σ.", "Ǆ,"]
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x530), (0x530, 0x1100), (0x1E00, 0x2100), (0x4E00, 0x4F00), (0xA640, 0xA7FF), (0x10280, 0x10400), (0x1F300, 0x1F700)]
+    out = []
+    for _ in range(n):
+        text = ""
+        for _ in range(int(rng.integers(1, 25))):
+            low, high = ranges[rng.integers(len(ranges))]
+            text += pieces[rng.integers(len(pieces))] if rng.random() < 0.5 else chr(rng.integers(low, high))
+        out.append(text)
+    return out
+
+
+def test_ids_are_those_of_the_library_with_its_own_settings():
+    from tokenizers import Tokenizer
+
+    texts = _odd_texts(6000, 5) + ["ALİ, geldi", "a<|endoftext|>b", " <|endoftext|> x", "x<|endoftext|>,", "<|endoftext|>"]
+    words = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    encoder = token_files.WordEncoder(P.path("word_bpe_49k.json"))
+    kind = f"<u{encoder.width}"
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(raw, kind).tolist() == words.encode(text, add_special_tokens=False).ids, text
+    pairs = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encode = packing.rank_encoding(P.path("byte_bpe_50k.tiktoken")).encode
+    for text in texts:
+        assert encode(text, allowed_special={packing.END_TEXT}, disallowed_special=()) == pairs.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing(spark, docs, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {i: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for i, t in texts.items()}
     rows = packing.pack_documents(docs, P.path("byte_bpe_50k.tiktoken")).collect()
     covered, filled = Counter(), Counter()
