@@ -182,17 +182,22 @@ joined AS (SELECT f.Product, f.Division, f.Month, f.Actuals, f.Bookings, s.Sum_T
 """
 
 
+def joined_signals(spark, sf):
+    """Fact and signals from one pass over the lines."""
+    cells = cut_lineage(D.order_cells(spark, sf))
+    return P.join_signals(D.full_fact(spark, sf, cells), files.clean_summary(D.cell_summary(cells)))
+
+
 @query("join_signals", with_ctes(JOINED, body="SELECT * FROM joined"), "Actuals Bookings Sum_Total_Price Sum_Quantity Open_Opportunities New_Opportunities", 4)
 def join_signals(spark, sf):
-    return P.join_signals(D.full_fact(spark, sf), files.clean_summary(D.signal_summary(spark, sf)))
+    return joined_signals(spark, sf)
 
 
 @query("exog_coverage", with_ctes(JOINED, body="""SELECT *, coverage < 0.7 AS low_coverage FROM (
     SELECT Product, Division, 'Bookings' AS Regressor, avg((Bookings IS NOT NULL)::INT) AS coverage FROM joined GROUP BY ALL
     UNION ALL SELECT Product, Division, 'Open_Opportunities', avg((Open_Opportunities IS NOT NULL)::INT) FROM joined GROUP BY ALL)"""), "coverage")
 def exog_coverage(spark, sf):
-    joined = P.join_signals(D.full_fact(spark, sf), files.clean_summary(D.signal_summary(spark, sf)))
-    return P.exog_coverage(joined, ["Bookings", "Open_Opportunities"])
+    return P.exog_coverage(joined_signals(spark, sf), ["Bookings", "Open_Opportunities"])
 
 
 @query("regressor_lags", with_ctes(C.FULL, body="""SELECT *, lag(New_Opportunities, 1) OVER w AS New_Opportunities_l1, lag(New_Opportunities, 2) OVER w AS New_Opportunities_l2,

@@ -51,3 +51,24 @@ def test_order_lines_are_joined_once(spark):
     for table in (i.lines(), i.summary()):
         assert "SortMergeJoin" not in table._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fact_and_signals_come_from_one_pass_over_the_lines(spark):
+    from seriesloom.plans.preparation import joined_signals
+
+    plan = joined_signals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "parquet" not in plan
+
+
+def test_codes_are_mapped_in_one_join_without_exploding_rows(spark):
+    from seriesloom.operators import prepare as P
+
+    cat = spark.createDataFrame([("G1", "B", "10|ITEM_7|PROD_ITEM_9", 0), ("G2", "C", "10|7", 1), ("PROD-X", "B", "5.0", 2)],
+                                "group_key string, business_unit_code string, sku_list string, catalog_row int")
+    want = {("10", "B"): "G1", ("10", "C"): "G2", ("10", None): "G1", ("prod_item_7", "B"): "G1", ("item_7", "B"): "G1", ("ITEM-7", "C"): "G2", ("PROD_7", "B"): "G2",
+            ("ITEM_9", "B"): None, ("PROD_ITEM_9", "B"): "G1", ("prod-x", "B"): "PROD-X", ("x", "B"): None, ("item_PROD-x", "B"): "PROD-X", (" 5.0", "Z"): "PROD-X", (None, "B"): None}
+    raw = spark.createDataFrame(list(want), "raw_product string, Division string")
+    mapped = P.map_codes(raw, cat)
+    assert {(r[0], r[1]): r[2] for r in mapped.collect()} == want
+    plan = mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "rank" not in plan
