@@ -140,18 +140,41 @@ def document_figures(docs: DataFrame, model: str) -> DataFrame:
     return source.mapInArrow(run, FIGURES)
 
 
-def _bands(cells: DataFrame, keys: list[str], least_cells: int = MIN_GROUP) -> DataFrame:
-    """Median and least-bounded deviation of the figures in each group that has enough cells."""
+#: The groupings that have a band: a language's length class, a length class, a language, all documents; and the least cells of each.
+LEVELS = {"own": (["lang", "length_class"], MIN_GROUP), "any": (["length_class"], MIN_GROUP), "language": (["lang"], MIN_GROUP), "all": ([], 1)}
+LEVEL_KEY = ["level", "at_lang", "at_class"]
+MIDDLES = ["chars_mid", "entropy_mid", "byte_share_mid", "chars_dev", "entropy_dev"]
+
+
+def _levelled(rows: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+    """Each row once for every level, with its key there: level, at_lang and, where the keys name it, at_class (null elsewhere)."""
+    each = [
+        F.struct(
+            F.lit(level).alias("level"), (F.col("lang") if "lang" in names else F.lit(None).cast("string")).alias("at_lang"),
+            (F.col("length_class") if "length_class" in names else F.lit(None).cast("int")).alias("at_class"),
+        )
+        for level, names in keys.items()
+    ]
+    return rows.select("*", F.inline(F.array(*each)))
+
+
+def _bands(cells: DataFrame) -> DataFrame:
+    """level, at_lang, at_class, at_mid (median length class) and band: median and least-bounded deviation of the figures in
+    each group of each level that has enough cells. It has a row for each language and length class at most."""
     figures = ["chars", "entropy", "byte_share"]
-    middle = cells.groupBy(*(F.col(k).alias(f"{k}_") for k in keys)).agg(*(F.percentile(c, F.lit(0.5)).alias(f"{c}_mid") for c in figures), F.count("*").alias("n"))
-    middle = middle.where(F.col("n") >= least_cells).drop("n")
-    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+    each = _levelled(cells, {level: names for level, (names, _) in LEVELS.items()})
+    middle = each.groupBy(*LEVEL_KEY).agg(*(F.percentile(c, F.lit(0.5)).alias(f"{c}_mid") for c in [*figures, "length_class"]), F.count("*").alias("n"))
+    least_cells = F.create_map(*(F.lit(x) for level, (_, least) in LEVELS.items() for x in (level, least)))
+    middle = written(middle.where(F.col("n") >= least_cells[F.col("level")]).drop("n").withColumnsRenamed({k: f"{k}_" for k in LEVEL_KEY}), "quality-middles")
     dev = [F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3) for c in figures]
-    wide = cells.join(middle, same).groupBy(*keys, *(f"{c}_mid" for c in figures)).agg(
+    # One level is a single group, so its rows must not be shuffled to their median: the medians go to the rows.
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in LEVEL_KEY]
+    wide = each.join(F.broadcast(middle), same).groupBy(*LEVEL_KEY, *(f"{c}_mid" for c in [*figures, "length_class"])).agg(
         *(F.percentile(d, F.lit(0.5)).alias(f"{c}_dev") for c, d in zip(figures, dev, strict=True))
     )
     least = {"chars": LEAST_CHARS_DEV, "entropy": LEAST_ENTROPY_DEV}
-    return wide.select(*keys, *(f"{c}_mid" for c in figures), *(F.greatest(F.col(f"{c}_dev") * F.lit(1.4826), F.lit(v)).alias(f"{c}_dev") for c, v in least.items()))
+    wide = wide.withColumns({f"{c}_dev": F.greatest(F.col(f"{c}_dev") * F.lit(1.4826), F.lit(v)) for c, v in least.items()})
+    return written(wide.select(*LEVEL_KEY, F.col("length_class_mid").alias("at_mid"), F.struct(*MIDDLES).alias("band")), "quality-bands")
 
 
 def _outside(z: Column, band: tuple[float | None, float | None]) -> Column:
@@ -170,33 +193,25 @@ def judge(docs: DataFrame, model: str) -> DataFrame:
     )
     figures = written(figures, "quality")
     cells = figures.where(~F.col("base_failed")).select("lang", "length_class", "n_tokens", "chars", "entropy", "byte_share").distinct()
-    cells = cells.select("lang", "length_class", "chars", "entropy", "byte_share")
-    names = ["chars_mid", "entropy_mid", "byte_share_mid", "chars_dev", "entropy_dev"]
-    middle = F.percentile("length_class", F.lit(0.5))
-    known = F.struct(*names)
-    own = _bands(cells, ["lang", "length_class"]).select(F.col("lang").alias("own_lang"), F.col("length_class").alias("own_class"), known.alias("own_band"))
-    every = _bands(cells, ["length_class"]).select(F.col("length_class").alias("any_class"), known.alias("any_band"))
-    by_lang = cells.groupBy(F.col("lang").alias("mid_lang")).agg(middle.alias("lang_mid"))
-    language = _bands(cells, ["lang"]).select(F.col("lang").alias("all_lang"), known.alias("lang_band"))
-    total = _bands(cells.withColumn("one", F.lit(1)), ["one"], 1).select("one", known.alias("all_band"))
-    total = total.join(cells.agg(F.lit(1).alias("same"), middle.alias("all_mid")), F.col("one") == F.col("same"))
+    bands = _bands(written(cells.select("lang", "length_class", "chars", "entropy", "byte_share"), "quality-cells"))
     # A row for each language and length class: which bands there are. These tables do not grow with the documents.
-    groups = figures.where("length_class IS NOT NULL").select("lang", "length_class").distinct().withColumn("one_", F.lit(1))
-    keys = ["lang", "length_class"]
-
-    def nearest(band: str, at: str) -> Column:
-        away = F.abs(F.col(at) - F.col("length_class"))
-        return F.min_by(F.when(away <= NEAR, F.struct(F.col(band).alias("band"), F.col(at).alias("at"))), F.struct(away, at))
-
-    near_own = groups.join(own, F.col("lang").eqNullSafe(F.col("own_lang"))).groupBy(*keys).agg(
-        F.max(F.when(F.col("own_class") == F.col("length_class"), F.col("own_band"))).alias("own"), nearest("own_band", "own_class").alias("near_own"))
-    near_any = groups.join(every.withColumn("one", F.lit(1)), F.col("one") == F.col("one_")).groupBy(*keys).agg(
-        F.max(F.when(F.col("any_class") == F.col("length_class"), F.col("any_band"))).alias("any"), nearest("any_band", "any_class").alias("near_any"))
-    for found, tag in ((near_own, "o"), (near_any, "a")):
-        found = found.withColumnsRenamed({k: f"{k}_{tag}" for k in keys})
-        groups = groups.join(found, F.col("lang").eqNullSafe(F.col(f"lang_{tag}")) & (F.col("length_class") == F.col(f"length_class_{tag}")), "left")
-    groups = groups.join(language, F.col("lang").eqNullSafe(F.col("all_lang")), "left").join(by_lang, F.col("lang").eqNullSafe(F.col("mid_lang")), "left")
-    groups = groups.join(total, F.col("one_") == F.col("one"), "left")
+    groups = figures.where("length_class IS NOT NULL").select("lang", "length_class").distinct()
+    found = _levelled(groups, {level: [k for k in names if k == "lang"] for level, (names, _) in LEVELS.items()}).drop("at_class")
+    named = bands.select(F.col("level").alias("of"), F.col("at_lang").alias("of_lang"), "at_class", "at_mid", "band")
+    found = found.join(F.broadcast(named), (F.col("level") == F.col("of")) & F.col("at_lang").eqNullSafe(F.col("of_lang")), "left")
+    is_own, is_any = F.col("of") == "own", F.col("of") == "any"
+    away = F.abs(F.col("at_class") - F.col("length_class"))
+
+    def here(level: str, what: str = "band", at: Column | None = None) -> Column:
+        return F.max(F.when((F.col("of") == level) & (F.lit(True) if at is None else at), F.col(what)))
+
+    def nearest(level: Column) -> Column:
+        return F.min_by(F.when(level & (away <= NEAR), F.struct("band", F.col("at_class").alias("at"))), F.when(level, F.struct(away, F.col("at_class"))))
+
+    groups = found.groupBy("lang", "length_class").agg(
+        here("own", at=away == 0).alias("own"), here("any", at=away == 0).alias("any"), nearest(is_own).alias("near_own"), nearest(is_any).alias("near_any"),
+        here("language").alias("lang_band"), here("language", "at_mid").alias("lang_mid"), here("all").alias("all_band"), here("all", "at_mid").alias("all_mid"),
+    )
     # The length class that the band stands for; a document shorter than that has less entropy anyway.
     stands_for = F.when(F.coalesce("own", "any").isNotNull(), F.col("length_class")).otherwise(
         F.coalesce("near_own.at", "near_any.at", F.when(F.col("lang_band").isNotNull(), F.col("lang_mid")), "all_mid"))
@@ -204,8 +219,8 @@ def judge(docs: DataFrame, model: str) -> DataFrame:
         F.col("lang").alias("band_lang"), F.col("length_class").alias("band_class"), (F.col("length_class") < stands_for).alias("no_entropy"),
         F.coalesce("own", "near_own.band", "lang_band").isNull().alias("strange"), F.coalesce("own", "any", "near_own.band", "near_any.band", "lang_band", "all_band").alias("band"),
     )
-    joined = figures.join(groups, F.col("lang").eqNullSafe(F.col("band_lang")) & (F.col("length_class") == F.col("band_class")), "left")
-    band = {c: F.col(f"band.{c}") for c in names}
+    joined = figures.join(F.broadcast(groups), F.col("lang").eqNullSafe(F.col("band_lang")) & (F.col("length_class") == F.col("band_class")), "left")
+    band = {c: F.col(f"band.{c}") for c in MIDDLES}
     z_chars = (F.col("chars") - band["chars_mid"]) / band["chars_dev"]
     z_entropy = F.when(~F.col("no_entropy"), (F.col("entropy") - band["entropy_mid"]) / band["entropy_dev"])
     reasons = [

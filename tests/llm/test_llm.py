@@ -222,6 +222,19 @@ def test_fertility_bands_find_symbol_text(spark):
     assert np.mean([r.kept for r in rows if r.quality == 0]) <= 0.3
 
 
+def test_fertility_bands_take_few_shuffles_and_no_cross_join(spark, docs, monkeypatch):
+    plans, written = [], common.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(quality, "written", seen)
+    plans.append(quality.judge(docs, P.path("piece_bpe_32k.model"))._jdf.queryExecution().executedPlan().toString())
+    assert not any(x in plan for plan in plans for x in ("CartesianProduct", "NestedLoop"))
+    assert sum(plan.count("Exchange hashpartitioning") for plan in plans) <= 6
+
+
 def test_fertility_judges_a_document_alone_in_its_length_class(spark, docs):
     rng = np.random.default_rng(3)
     rare = " ".join("".join(chr(int(c)) for c in rng.integers(0x12000, 0x12300, 4)) for _ in range(30000))
