@@ -18,7 +18,7 @@ are ignored. Positions count words `[^\\x20\\x09-\\x0D]+` from 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NAMED, chunks, drop, id_text, table, text_hash, windows, word_counts, word_hashes, written
+from .common import NAMED, chunks, drop, id_text, mix, table, text_hash, windows, word_codes, word_counts, word_hashes, written
 
 #: Any unchanged run of K + WINDOW - 1 = 9 words shares a seed, so a passage of which every tenth word is changed has several.
 K, WINDOW = 5, 5
@@ -97,15 +97,35 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def diagonals(pos: np.ndarray, src: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
-    """Matches merged along their diagonal where they are at most MAX_GAP apart: (pos, src, length)."""
-    order = np.lexsort((pos, pos - src))
-    pos, src = pos[order], src[order]
+def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int = 50_000) -> Iterator[pa.Table]:
+    """Tables of some rows or more that hold all rows of their keys, from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(x.num_rows for x in held) < rows or held[0].column(key)[0] == batch.column(key)[-1]:
+            continue
+        table_ = pa.Table.from_batches(held).combine_chunks()
+        keys = table_.column(key).to_numpy()
+        to = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+        if to:
+            yield table_.slice(0, to)
+            held = table_.slice(to).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def diagonals(doc: np.ndarray, source: np.ndarray, pos: np.ndarray, src: np.ndarray, k: int = K) -> np.ndarray:
+    """Matches merged along their diagonal where they are at most MAX_GAP apart: sorted rows (doc, source, pos, src, length)."""
+    order = np.lexsort((pos, pos - src, source, doc))
+    doc, source, pos, src = doc[order], source[order], pos[order].astype(np.int64), src[order].astype(np.int64)
     new = np.ones(len(pos), dtype=bool)
-    new[1:] = (np.diff(pos - src) != 0) | (np.diff(pos) > k + MAX_GAP)
+    new[1:] = (np.diff(doc) != 0) | (np.diff(source) != 0) | (np.diff(pos - src) != 0) | (np.diff(pos) > k + MAX_GAP)
     first = np.flatnonzero(new)
     ends = pos[np.append(first[1:], len(pos)) - 1] + k
-    return sorted(zip(pos[first].tolist(), src[first].tolist(), (ends - pos[first]).tolist(), strict=True))
+    out = np.column_stack([doc[first], source[first], pos[first], src[first], ends - pos[first]])
+    return out[np.lexsort(out.T[::-1])]
 
 
 def chain(segments: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
@@ -164,61 +184,116 @@ def chains(matches: DataFrame) -> DataFrame:
     """doc_id, its sources and for each the segments (chain, pos, src, length) of all chains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in by_key(batches, "doc_id"):
-            doc = group.column("doc_id")[0].as_py()
-            pos, source, src = (group.column(c).to_numpy() for c in ("pos", "source", "src_pos"))
-            found = [(s, c) for s in np.unique(source) for c in chain(diagonals(pos[source == s], src[source == s]))]
-            kept: dict[int, list] = {}
-            for i, (of, segments) in enumerate(found):  # what a chain reaches shows only when it is aligned
-                kept.setdefault(int(of), []).extend((i, *x) for x in segments)
+        for group in whole_keys(batches, "doc_id"):
+            found = diagonals(*(group.column(c).to_numpy() for c in ("doc_id", "source", "pos", "src_pos")))
+            first = np.flatnonzero(np.append(True, (np.diff(found[:, :2], axis=0) != 0).any(axis=1)))
+            last = np.append(first[1:], len(found))
+            # Every chain is kept: what it reaches shows only when it is aligned. Most pairs have one segment.
+            raw = np.column_stack([np.zeros(len(found), np.int64), found[:, 2:]]).astype("<i4").tobytes()
+            segments = [raw[16 * x : 16 * y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+            for i in np.flatnonzero(last - first > 1).tolist():
+                linked = chain([tuple(x) for x in found[first[i] : last[i], 2:].tolist()])
+                segments[i] = np.array([(c, *x) for c, links in enumerate(linked) for x in links], dtype="<i4").tobytes()
             # One row for each document, so that its text is fetched once.
+            docs, at = np.unique(found[first, 0], return_index=True)
+            offsets = pa.array(np.append(at, len(first)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc], pa.int64()), pa.array([list(kept)], pa.list_(pa.int64())), pa.array([[np.array(x, dtype="<i4").tobytes() for x in kept.values()]], pa.list_(pa.binary()))],
+                [pa.array(docs), pa.ListArray.from_arrays(offsets, pa.array(found[first, 1])), pa.ListArray.from_arrays(offsets, pa.array(segments, pa.binary()))],
                 names=["doc_id", "sources", "segments"],
             )
 
     return matches.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, "doc_id long, sources array<long>, segments array<binary>")
 
 
-def _regions(texts: pa.Array, rows: Iterable[int], segments: pa.Array, side: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first word, word hashes) of the part of its row's text that each list of segments may touch; side 0 the document, 1 the source."""
+def _word_marks(words: pa.Array) -> np.ndarray:
+    """32 bits for each word, from all its bytes and their places; equal in all tasks."""
+    words = words.cast(pa.large_binary())
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words) or offsets[0] == offsets[-1]:
+        return np.zeros(len(words), np.uint32)
+    raw = np.frombuffer(words.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    sizes = np.diff(offsets)
+    place = _ranges(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(raw + (place << np.uint64(8))))))
+    at = offsets - offsets[0]
+    return (mix(sums[at[1:]] - sums[at[:-1]]) >> np.uint64(32)).astype(np.uint32)
+
+
+def _regions(texts: pa.Array, rows: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of the words in the parts of the rows' texts that the words from low to high are, joined; where each part starts and its length."""
     distinct = texts.dictionary_encode()
-    hashes, starts = word_hashes(distinct.dictionary)
-    codes = distinct.indices.to_pylist()
-    for row, raw in zip(rows, segments.to_pylist(), strict=True):
-        found, code = np.frombuffer(raw, dtype="<i4").reshape(-1, 4), codes[row]
-        low = max(0, int(found[:, 1 + side].min()) - REACH)
-        high = int((found[:, 1 + side] + found[:, 3]).max()) + REACH
-        yield low, hashes[starts[code] : starts[code + 1]][low:high].astype(np.uint32)
-
-
-def _straight(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Matches of two runs of words read side by side, up to where mismatches outweigh matches."""
-    n = min(len(a), len(b))
-    equal = a[:n] == b[:n]
-    score = np.cumsum(np.where(equal, 1, -2))
-    fallen = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
-    n = int(fallen[0]) if len(fallen) else n
-    # The end is where matches outnumber mismatches most, the last such place: a change near the end does not cut it off.
-    score = np.cumsum(np.where(equal[:n], 1, -1))
-    return equal[: n - int(np.argmax(score[::-1]))] if n and score.max() > 0 else equal[:0]
-
-
-def _extent(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Matches of two runs of words from their start on; a few words more in one of them shift it."""
-    hit, i, j = np.zeros(len(a), dtype=bool), 0, 0
-    while True:
-        equal = _straight(a[i:], b[j:])
-        hit[i : i + len(equal)] = equal
-        i, j = i + len(equal), j + len(equal)
-        shifts = ((x, total - x) for total in range(1, SHIFT + 1) for x in range(total + 1))
-        for x, y in shifts:
-            one, two = a[i + x : i + x + AFTER_SHIFT], b[j + y : j + y + AFTER_SHIFT]
-            if len(one) == len(two) == AFTER_SHIFT and (one == two).all():
-                i, j = i + x, j + y
-                break
-        else:
-            return hit[:i]
+    word, words, starts = word_codes(distinct.dictionary)
+    marks = _word_marks(words)
+    codes = np.asarray(distinct.indices, dtype=np.int64)[rows]
+    first = starts[codes] + lows
+    sizes = np.maximum(np.minimum(starts[codes + 1], starts[codes] + highs) - first, 0)
+    return marks[word[_ranges(first, sizes)]], np.cumsum(sizes) - sizes, sizes
+
+
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs first[i], first[i] + 1, ... of the given sizes, joined."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _segments(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Segments (chain, pos, src, length) of all rows, and how many each row has; every row has one."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), dtype="<i4").reshape(-1, 4).astype(np.int64)
+    return flat, np.asarray(pc.binary_length(column), dtype=np.int64) // 16
+
+
+def _touched(segments: np.ndarray, counts: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) that the segments of each row may touch; side 0 the document, 1 the source."""
+    first = np.cumsum(counts) - counts
+    low = np.minimum.reduceat(segments[:, 1 + side], first) - REACH
+    return np.maximum(low, 0), np.maximum.reduceat(segments[:, 1 + side] + segments[:, 3], first) + REACH
+
+
+#: Shifts (words of the document, words of the source) in the order in which they are tried.
+_SHIFTS = np.array([(x, total - x) for total in range(1, SHIFT + 1) for x in range(total + 1)])
+#: Ends that are extended at once.
+AT_ONCE = 4096
+
+
+def _extents(a: np.ndarray, a_at: np.ndarray, a_len: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_len: np.ndarray, step: int) -> np.ndarray:
+    """Matches of pairs of runs of at most REACH words from their start on, for all pairs at once; a row for each pair.
+
+    Words are read side by side up to where mismatches outweigh matches; a few words more in one of them shift it, and
+    the reading goes on.
+    """
+    t = np.arange(REACH)
+
+    def words(of: np.ndarray, at: np.ndarray, size: np.ndarray, nothing: int) -> np.ndarray:
+        read = of[np.clip(at[:, None] + step * t, 0, max(len(of) - 1, 0))].astype(np.int64) if len(of) else np.full((len(at), REACH), nothing)
+        return np.column_stack([np.where(t < size[:, None], read, nothing), np.full(len(at), nothing)])
+
+    # Words beyond an end equal nothing.
+    one, two = words(a, a_at, a_len, -1), words(b, b_at, b_len, -2)
+    hit = np.zeros((len(a_at), REACH), dtype=bool)
+    live, i, j = np.arange(len(a_at)), np.zeros(len(a_at), np.int64), np.zeros(len(a_at), np.int64)
+    window = np.arange(SHIFT + AFTER_SHIFT)
+    while len(live):
+        at = np.minimum(i[:, None] + t, REACH)
+        equal = np.take_along_axis(one, at, 1) == np.take_along_axis(two, np.minimum(j[:, None] + t, REACH), 1)
+        score = np.cumsum(np.where(equal, 1, -2), axis=1)
+        fallen = np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > DROP
+        n = np.where(fallen.any(axis=1), fallen.argmax(axis=1), REACH)
+        # The end is where matches outnumber mismatches most, the last such place: a change near the end does not cut it off.
+        score = np.where(t < n[:, None], np.cumsum(np.where(equal, 1, -1), axis=1), -REACH)
+        size = np.where(score.max(axis=1) > 0, REACH - score[:, ::-1].argmax(axis=1), 0)
+        row, word = np.nonzero(equal & (t < size[:, None]))
+        hit[live[row], at[row, word]] = True
+        i, j = i + size, j + size
+        x = np.take_along_axis(one, np.minimum(i[:, None] + window, REACH), 1)
+        y = np.take_along_axis(two, np.minimum(j[:, None] + window, REACH), 1)
+        same = x[:, :, None] == y[:, None, :]
+        goes_on = same[:, : SHIFT + 1, : SHIFT + 1].copy()
+        for k in range(1, AFTER_SHIFT):
+            goes_on &= same[:, k : k + SHIFT + 1, k : k + SHIFT + 1]
+        tried = goes_on[:, _SHIFTS[:, 0], _SHIFTS[:, 1]]
+        more = tried.any(axis=1)
+        shift = _SHIFTS[tried.argmax(axis=1)[more]]
+        live, one, two, i, j = live[more], one[more], two[more], i[more] + shift[:, 0], j[more] + shift[:, 1]
+    return hit
 
 
 def _common(a: list[int], b: list[int]) -> list[bool]:
@@ -261,29 +336,58 @@ def _dense(starts: np.ndarray, ends: np.ndarray, matched: np.ndarray) -> list[tu
     return sorted(out)
 
 
-def aligned(segments: np.ndarray, a: np.ndarray, a_from: int, b: np.ndarray, b_from: int) -> list[tuple[int, int, int]]:
-    """Passages (start, end, matched words) of the document along one chain."""
-    hit = np.zeros(len(a), dtype=bool)
-    last = None
-    for pos, src, n in segments.tolist():
-        p, s = pos - a_from, src - b_from
-        hit[p : p + n] |= a[p : p + n] == b[s : s + n]
-        if last and p > last[0] and s > last[1]:
-            hit[last[0] : p] |= _common(a[last[0] : p].tolist(), b[last[1] : s].tolist())
-        last = (p + n, s + n)
-    p, s = int(segments[0, 0]) - a_from, int(segments[0, 1]) - b_from
-    left = _extent(a[:p][::-1], b[:s][::-1])
-    hit[p - len(left) : p] |= left[::-1]
-    right = _extent(a[last[0] :], b[last[1] :])
-    hit[last[0] : last[0] + len(right)] |= right
+def aligned(segments: np.ndarray, a: np.ndarray, a_low: np.ndarray, a_high: np.ndarray, b: np.ndarray, b_low: np.ndarray, b_high: np.ndarray) -> np.ndarray:
+    """Passages (chain, start, end, matched words) of the documents along all chains.
+
+    `segments` has (chain, place in a, place in b, length), sorted by chain, chains counted from 0; a and b hold the words of
+    all documents and sources, and a chain may touch those from its low to its high. Start and end are places in a.
+    """
+    of, p, s, n = segments.T
+    first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    last = np.append(first[1:], len(of)) - 1
+    lead, s_lead = np.minimum(p[first] - a_low, REACH), np.minimum(s[first] - b_low, REACH)
+    a_end, b_end = p[last] + n[last], s[last] + n[last]
+    tail, s_tail = np.minimum(a_high - a_end, REACH), np.minimum(b_high - b_end, REACH)
+    # The words of each chain, one chain after the other; moved[chain] leads from a place in a to that in `hit`.
+    sizes = a_end + tail - p[first] + lead
+    base = np.cumsum(sizes) - sizes
+    moved = base + lead - p[first]
+    hit = np.zeros(int(sizes.sum()), dtype=bool)
+    hit[_ranges(p + moved[of], n)[a[_ranges(p, n)] == b[_ranges(s, n)]]] = True
+    gap = 1 + np.flatnonzero((of[1:] == of[:-1]) & (p[1:] > (p + n)[:-1]) & (s[1:] > (s + n)[:-1]))
+    for k in gap.tolist():
+        x, y = p[k - 1] + n[k - 1], s[k - 1] + n[k - 1]
+        hit[x + moved[of[k]] : p[k] + moved[of[k]]] |= _common(a[x : p[k]].tolist(), b[y : s[k]].tolist())
+    for low in range(0, len(first), AT_ONCE):
+        part = slice(low, low + AT_ONCE)
+        row, word = np.nonzero(_extents(a, p[first][part] - 1, lead[part], b, s[first][part] - 1, s_lead[part], -1))
+        hit[(p[first] + moved)[part][row] - 1 - word] = True
+        row, word = np.nonzero(_extents(a, a_end[part], tail[part], b, b_end[part], s_tail[part], 1))
+        hit[(a_end + moved)[part][row] + word] = True
     at = np.flatnonzero(hit)
     matched = np.concatenate(([0], np.cumsum(hit)))
+    owner = np.searchsorted(base, at, side="right") - 1
+    away, other = np.diff(at), np.diff(owner) != 0
+    block = np.concatenate(([0], np.cumsum(other | (away > MAX_GAP + 1))))
+    start = np.flatnonzero(np.append(True, other | (away > MAX_MISS + 1))) if len(at) else np.zeros(0, np.int64)
+    stop = np.append(start[1:], len(at))
+    # A run of fewer matches has no piece.
+    start, stop = start[stop - start >= MIN_PIECE], stop[stop - start >= MIN_PIECE]
+    found, blocks = [], block[start].tolist()
+    whole = (stop - start >= IDENTITY * (at[stop - 1] + 1 - at[start]) - 1e-6).tolist()
+    ends = zip(blocks, whole, start.tolist(), stop.tolist(), at[start].tolist(), (at[stop - 1] + 1).tolist(), strict=True)
+    for in_block, dense, x, y, from_, to in ends:  # a run that is dense as a whole is the longest dense span in it
+        spans = [(from_, to)] if dense else _dense(at[x:y], at[x:y] + 1, matched)
+        found += [(in_block, *z) for z in spans if matched[z[1]] - matched[z[0]] >= MIN_PIECE]
+    pieces = np.array(found, dtype=np.int64).reshape(-1, 3)
+    cut = np.flatnonzero(np.diff(pieces[:, 0])) + 1
+    alone = np.diff(np.concatenate(([0], cut, [len(pieces)]))) == 1
     out = []
-    for block in np.split(at, np.flatnonzero(np.diff(at) > MAX_GAP + 1) + 1) if len(at) else []:
-        pieces = [x for run in np.split(block, np.flatnonzero(np.diff(block) > MAX_MISS + 1) + 1) for x in _dense(run, run + 1, matched)]
-        pieces = np.array([x for x in pieces if matched[x[1]] - matched[x[0]] >= MIN_PIECE], dtype=np.int64).reshape(-1, 2)
-        out += [(a_from + start, a_from + end, int(matched[end] - matched[start])) for start, end in _dense(pieces[:, 0], pieces[:, 1], matched)]
-    return out
+    for one, single in zip(np.split(pieces[:, 1:], cut), alone.tolist(), strict=True):
+        out += one.tolist() if single else _dense(one[:, 0], one[:, 1], matched)
+    spans = np.array(out, dtype=np.int64).reshape(-1, 2)
+    chain_ = np.searchsorted(base, spans[:, 0], side="right") - 1
+    return np.column_stack([chain_, spans - moved[chain_][:, None], matched[spans[:, 1]] - matched[spans[:, 0]]])
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -317,21 +421,30 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
             lists = batch.column("sources")
             each = pc.list_parent_indices(lists)
             flat = pa.RecordBatch.from_arrays([batch.column("doc_id").take(each), pc.list_flatten(lists), pc.list_flatten(batch.column("segments"))], names=["doc_id", "source", "segments"])
-            regions = list(_regions(batch.column("text"), each.to_pylist(), flat.column("segments"), 0))
-            yield pa.RecordBatch.from_arrays([*flat.columns, pa.array([x for x, _ in regions], pa.int32()), pa.array([x.tobytes() for _, x in regions], pa.binary())], names=["doc_id", "source", "segments", "a_from", "a"])
+            low, high = _touched(*_segments(flat.column("segments")), 0)
+            words, starts, sizes = _regions(batch.column("text"), np.asarray(each), low, high)
+            raw = words.astype("<u4").tobytes()
+            parts = [raw[x : x + n] for x, n in zip((4 * starts).tolist(), (4 * sizes).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*flat.columns, pa.array(low.astype(np.int32)), pa.array(parts, pa.binary())], names=["doc_id", "source", "segments", "a_from", "a"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            rows = []
-            for i, (b_from, b) in enumerate(_regions(batch.column("text"), range(batch.num_rows), batch.column("segments"), 1)):
-                segments = np.frombuffer(batch.column("segments")[i].as_py(), dtype="<i4").reshape(-1, 4)
-                a, a_from = np.frombuffer(batch.column("a")[i].as_py(), dtype=np.uint32), batch.column("a_from")[i].as_py()
-                for one in np.split(segments[:, 1:], np.flatnonzero(np.diff(segments[:, 0])) + 1):
-                    x, y = max(0, int(one[0, 0]) - REACH - a_from), max(0, int(one[0, 1]) - REACH - b_from)
-                    part_a, part_b = a[x : int(one[-1, 0] + one[-1, 2]) + REACH - a_from], b[y : int(one[-1, 1] + one[-1, 2]) + REACH - b_from]
-                    rows += [(batch.column("doc_id")[i].as_py(), *z, batch.column("source")[i].as_py()) for z in aligned(one, part_a, a_from + x, part_b, b_from + y)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start_word", "end_word", "matched", "source_id"])
+            segments, counts = _segments(batch.column("segments"))
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            b_from, b_to = _touched(segments, counts, 1)
+            b, b_low, b_size = _regions(batch.column("text"), np.arange(batch.num_rows), b_from, b_to)
+            a = np.frombuffer(b"".join(batch.column("a").to_pylist()), dtype="<u4")
+            a_from, a_size = np.asarray(batch.column("a_from"), dtype=np.int64), np.asarray(pc.binary_length(batch.column("a")), dtype=np.int64) // 4
+            a_low = np.cumsum(a_size) - a_size
+            new = np.append(True, (row[1:] != row[:-1]) | (segments[1:, 0] != segments[:-1, 0]))
+            placed = np.column_stack([np.cumsum(new) - 1, segments[:, 1] + (a_low - a_from)[row], segments[:, 2] + (b_low - b_from)[row], segments[:, 3]])
+            of = row[new]
+            found = aligned(placed, a, a_low[of], (a_low + a_size)[of], b, b_low[of], (b_low + b_size)[of])
+            if len(found):
+                of = of[found[:, 0]]
+                words = found[:, 1:3] + (a_from - a_low)[of][:, None]
+                columns = [batch.column("doc_id").take(pa.array(of)), *(pa.array(x) for x in (words[:, 0], words[:, 1], found[:, 3])), batch.column("source").take(pa.array(of))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start_word", "end_word", "matched", "source_id"])
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_key(batches, "doc_id"):
