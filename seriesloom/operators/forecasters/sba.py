@@ -61,20 +61,23 @@ def prefix_forecasts(fact: DataFrame, y: str = "y", alpha: float = 0.1) -> DataF
              F.col("pos").alias("n_before"), F.col("r.f").alias("forecast"))
 
 
-def sba_backtest(fact: DataFrame, y: str = "Actuals", horizon: int = 12, min_train: int = 24, alpha: float = 0.1):
-    """(holdout rows, rolling-origin MAE) of SBA, both from the same prefix fold."""
-    from pyspark.sql import Window
-
-    prefix = prefix_forecasts(fact, y, alpha)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*SERIES))
-    rows = prefix.withColumn("n", n)
-    cut = F.max(F.when(F.col("n_before") == F.col("n") - horizon, F.col("forecast"))).over(Window.partitionBy(*SERIES))
-    holdout = (
-        rows.withColumn("level", cut).filter(F.col("n_before") >= F.col("n") - horizon).filter(F.col("n") > horizon)
-        .select(*SERIES, F.lit("SBA").alias("Model"), F.col("Month").alias("Date"), F.col("y").alias("Actual"),
-                F.col("level").alias("Forecast"))
+def sba_holdout(fact: DataFrame, y: str = "Actuals", horizon: int = 12, alpha: float = 0.1) -> DataFrame:
+    """The last `horizon` known months of each longer series, with the level after the months before them.
+
+    One fold to that cut gives the level: the forecasts before it are not needed, nor rows for them.
+    """
+    n = F.size("h")
+    # The level is a column before the months are listed: beside the generator it would be folded anew for each of them.
+    cut = _history(fact, y).filter(n > horizon).select(
+        *SERIES, sba_level(F.expr(f"slice(h.y, 1, size(h) - {int(horizon)})"), alpha).alias("level"), F.slice("h", n - horizon + 1, horizon).alias("last")
     )
-    rocv = rows.filter(F.col("n_before") >= min_train).groupBy(*SERIES).agg(
+    rows = cut.select(*SERIES, "level", F.inline("last"))
+    return rows.select(*SERIES, F.lit("SBA").alias("Model"), F.col("Month").alias("Date"), F.col("y").alias("Actual"), F.col("level").alias("Forecast"))
+
+
+def sba_backtest(fact: DataFrame, y: str = "Actuals", horizon: int = 12, min_train: int = 24, alpha: float = 0.1):
+    """(holdout rows, rolling-origin MAE) of SBA."""
+    rocv = prefix_forecasts(fact, y, alpha).filter(F.col("n_before") >= min_train).groupBy(*SERIES).agg(
         F.avg(F.abs(F.col("y") - F.col("forecast"))).alias("ROCV_MAE"), F.count(F.lit(1)).alias("n_origins")
     )
-    return holdout, rocv.withColumn("Model", F.lit("SBA"))
+    return sba_holdout(fact, y, horizon, alpha), rocv.withColumn("Model", F.lit("SBA"))

@@ -270,3 +270,24 @@ def test_tree_models_have_the_configured_size():
     for function, name, want in ((boosting.backtest, "config", cfg.LAG_TREES), (boosting.snapshot_model_run, "config", cfg.BoostConfig()), (boosting.snapshot_model_run, "holdout_months", 12),
                                  (spike.evaluate, "config", cfg.SPIKE_TREES), (spike.tune, "config", cfg.SPIKE_TREES), (spike.tune, "spike", cfg.SpikeConfig())):
         assert inspect.signature(function).parameters[name].default == want
+
+
+def test_sba_holdout_folds_once_to_its_cut(spark):
+    y = [0.0, 3.0, None, 0.0, 5.0, 2.0, 0.0, 0.0, 4.0, 1.0, 0.0, 6.0, 2.0, 0.0, 7.0, 0.0]
+    fact = series(spark, y)
+    known = [v for v in y if v is not None]
+    z = p = None
+    q = 0.0
+    for v in known[:-12]:
+        q += 1
+        if v > 0:
+            z, p, q = (v, q, 0.0) if z is None else (z + 0.1 * (v - z), p + 0.1 * (q - p), 0.0)
+    got = sba.sba_backtest(fact)[0].orderBy("Date")
+    rows = got.collect()
+    assert [r.Actual for r in rows] == known[-12:] and {round(r.Forecast, 9) for r in rows} == {round(0.95 * z / p, 9)}
+    assert sba.sba_backtest(series(spark, [1.0] * 12))[0].count() == 0
+    plan = sba.sba_backtest(fact)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "posexplode" not in plan
+    # The fold is in the projection that the generator reads, so it runs once for a series, not once for each month.
+    above, below = plan.split("Generate inline", 1)
+    assert "aggregate(" not in above and "aggregate(" in below
