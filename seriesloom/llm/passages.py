@@ -411,7 +411,9 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     # Both sides of the next joins are tables, so that adaptive execution can split a seed that many documents hold.
     shared = written(found.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source <> last").select("seed", "source"), "shared-seeds")
     places = written(found.join(shared, "seed"), "seed-places")
+    held = NAMED[-2:]
     first = written(places.where("first AND doc_id = source").groupBy("seed").agg(F.min("pos").alias("src_pos")), "seed-sources")
+    held.append(NAMED[-1])
     drop(docs.sparkSession, [seed_folder])
     matches = places.where("doc_id <> source").join(first, "seed").select("doc_id", "pos", "source", "src_pos")
     texts = source.select(F.col("doc_id").alias("of"), "text")
@@ -467,7 +469,9 @@ def passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     sliced = linked.join(texts, F.col("doc_id") == F.col("of")).select("doc_id", "sources", "segments", "text").mapInArrow(cut, "doc_id long, source long, segments binary, a_from int, a binary")
     pieces = sliced.join(texts, F.col("source") == F.col("of")).select("doc_id", "source", "segments", "a_from", "a", "text").mapInArrow(align, "doc_id long, start_word long, end_word long, matched long, source_id long")
     result = "doc_id long, start_word long, end_word long, n_words long, source_id long"
-    fuzzy = pieces.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(unite, result)
+    # Written, so that the shuffles of seeds and texts are gone before the caller moves documents.
+    fuzzy = written(pieces.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(unite, result), "passages")
+    drop(docs.sparkSession, held)
     whole = copies.where(F.col("n_words") >= least)
     return fuzzy.union(whole.select("doc_id", F.lit(0).cast("long"), "n_words", "n_words", "head"))
 

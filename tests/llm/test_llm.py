@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -418,3 +419,19 @@ def test_pipeline(spark, texts):
     assert rows and {r.doc_id for r in rows} <= set(texts)
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
     assert len(good & {r.doc_id for r in rows}) >= 0.7 * len(good)
+
+
+def test_shuffle_files_of_passages_go_before_documents_are_cut(spark, docs):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for f in disk.getAllFiles().mkString("\n").split("\n") if (name := f.rsplit("/", 1)[-1]).startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    found = passages.passages(docs)
+    end = time.time() + 20
+    while time.time() < end and shuffles() - before:  # deletion goes on beside the session
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == setting
+    assert found.count() == passages.passages(docs).count() > 0
