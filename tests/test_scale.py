@@ -53,6 +53,26 @@ def test_order_lines_are_joined_once(spark):
         assert "Join" not in table._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lines_meet_their_series_once(spark, tmp_path, monkeypatch):
+    from seriesloom.plans.snapshots import Inputs
+    from seriesloom.sources import driver_tables as D
+
+    sf = str(tmp_path)
+    for t in ("nation", "supplier", "part", "orders", "lineitem"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        if t == "orders":  # lines without an order and an order given twice: the fact knows no orders
+            rows = rows.where("o_orderkey % 3 <> 0").union(rows.where("o_orderkey % 100 = 1"))
+        rows.write.parquet(f"{sf}/{t}.parquet")
+    want = {tuple(r) for r in D.monthly_fact(spark, sf).collect()}
+    signals = {tuple(r) for r in D.signal_summary(spark, sf).collect()}
+    read, table = [], D.table
+    monkeypatch.setattr(D, "table", lambda *a: read.append(a[2]) or table(*a))
+    i = Inputs(spark, sf)
+    assert {tuple(r) for r in i.fact.collect()} == want
+    assert {tuple(r) for r in D.signal_summary(spark, sf, i.order_lines).collect()} == signals
+    assert read.count("lineitem") == read.count("supplier") == read.count("orders") == 1
+
+
 def test_fact_and_signals_come_from_one_pass_over_the_lines(spark):
     from seriesloom.plans.preparation import joined_signals
 
