@@ -89,6 +89,38 @@ def test_classifier_learns_a_rule_and_one_class_stays_constant():
     assert trees.probability(none.predict(x, np.zeros(120, dtype=int))).max() < 0.01
 
 
+def test_splits_of_more_rows_and_values_are_exact_too():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(trees.LARGE + 44, 2))
+    y = np.where(x[:, 0] > np.sort(x[:, 0])[-4], 50.0, x[:, 1])
+    config = cfg.BoostConfig(trees=4, step=0.3)
+    got = trees.fit(x, y, np.zeros(len(x), dtype=int), 1, config)
+    assert np.allclose(got.predict(x, np.zeros(len(x), dtype=int)), plain_boosting(x, y, config)(x))
+
+
+@pytest.mark.parametrize("config", [
+    cfg.BoostConfig(trees=30),
+    cfg.BoostConfig(trees=30, depth=4, l2=1.0, least_weight=1.0, row_share=0.9, column_share=0.7),
+])
+@pytest.mark.parametrize("classify", [False, True])
+def test_trees_do_not_depend_on_the_number_of_rows_beside_which_they_are_fitted(config, classify, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 4))
+    x[:, 1] = np.round(x[:, 1], 1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = np.nan_to_num(x[:, 0]) + rng.normal(size=500)
+    y = (y > 1).astype(float) if classify else y
+    model = rng.integers(0, 3, size=500)
+    weight = rng.uniform(0.5, 2.0, size=500) if classify else None
+    forests = []
+    for large in (10, 10**9):
+        monkeypatch.setattr(trees, "LARGE", large)
+        forests.append(trees.fit(x, y, model, 3, config, weight, classify))
+    one, other = forests
+    assert (one.feature == other.feature).all() and (one.limit == other.limit).all() and (one.missing_left == other.missing_left).all()
+    assert np.allclose(one.leaf, other.leaf) and np.allclose(one.gain, other.gain)
+
+
 def months(n, start=dt.date(2018, 1, 1)):
     return [dt.date(start.year + (start.month - 1 + i) // 12, (start.month - 1 + i) % 12 + 1, 1) for i in range(n)]
 
@@ -134,6 +166,17 @@ def test_residual_models_cover_cuts_and_future_of_every_series(spark):
     assert {r["Product"]: r["reason"] for r in got if r["kind"] == "summary"} == {"a": None, "b": boosting.R_FOLDS, "c": boosting.R_TRAINING}
 
 
+def test_residual_models_of_many_rows_split_between_any_two_values(spark):
+    n = 2 * trees.LARGE  # rows of 32 months ahead by 16 snapshots; the last three alone have a residual
+    known = [("a", "D", s, t, 150.0 if 16 * i + j >= n - 3 else 100.0, 100.0, float(16 * i + j)) for i, t in enumerate(months(32)) for j, s in enumerate(months(16))]
+    schema = "Product string, Division string, snapshot_month date, target_month date, actuals double, baseline_pred double, x_i double"
+    rows = spark.createDataFrame(known, schema).withColumn("residual", F.col("actuals") - F.col("baseline_pred"))
+    future = [("a", "D", months(1)[0], t, None, 100.0, float(x)) for t, x in zip(months(36)[32:], (n - 4, n - 3, n - 1, n))]
+    future = spark.createDataFrame(future, schema).withColumn("residual", F.lit(None).cast("double"))
+    got = boosting.residual_models(rows, future, 2).filter("kind = 'future'").orderBy("target_month").collect()
+    assert np.allclose([r["final_pred"] for r in got], [100.0, 150.0, 150.0, 150.0], atol=0.01)
+
+
 def asof_like(spark, n=60):
     rows = []
     for p, missing in (("a", False), ("b", True)):
